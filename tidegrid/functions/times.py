@@ -82,13 +82,23 @@ def from_millis(millis: Column) -> Column:
 
 def to_millis(ts: Column) -> Column:
     """A time to epoch milliseconds, truncated toward zero also before 1970."""
-    return F.timestamp_diff("MILLISECOND", epoch(), ts)
+    return whole_steps(ts - epoch(), timedelta(milliseconds=1))
+
+
+def to_micros(ts: Column) -> Column:
+    """A time to epoch microseconds."""
+    return whole_steps(ts - epoch(), timedelta(microseconds=1))
+
+
+def whole_steps(length: Column, step: Duration) -> Column:
+    """How many whole steps fit in an interval, as BIGINT.  Dividing intervals stays clear
+    of time zones, which ``timestamp_diff`` does not."""
+    return F.call_function("div", length, interval(step))
 
 
 def step_index(ts: Column, start: Moment, step: Duration) -> Column:
     """Which step of the grid ``start, start+step, ..`` holds ``ts`` (``ts >= start``)."""
-    return F.call_function(
-        "div", F.timestamp_diff("MICROSECOND", moment(start), ts), F.lit(micros_of(step)))
+    return whole_steps(ts - moment(start), step)
 
 
 def step_time(index: Column, start: Moment, step: Duration) -> Column:

@@ -13,6 +13,9 @@ from tidegrid.functions.times import Duration, tumbling
 from tidegrid.functions.values import NAN
 from tidegrid.operators.position import HOT_ROWS, with_position
 
+# How many ways a group is sliced for a top-k too long to be cut ahead of the shuffle.
+SLICES = 64
+
 
 def step_sum(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Sum of the values of all series at each step; NaN carries through."""
@@ -90,13 +93,16 @@ def _ranked(points: DataFrame, k: int, largest: bool, by: Sequence[str] | None,
     value = F.col("value").desc() if largest else F.col("value").asc()
     # NaN ranks behind every number on both ends
     order = [F.isnan("value").asc(), value, "name", "series_key", *tie]
-    # first within slices of the group, so that no task sorts a whole hot group; a row
-    # among the k of its group is among the k of its slice
-    salt = F.pmod(F.xxhash64("series_key", "value", *tie), F.lit(64))
-    part = F.row_number().over(Window.partitionBy(*names, "step_ts", "__salt").orderBy(*order))
+    limit = int(points.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if k > limit:
+        # up to the limit Spark cuts each group to k rows ahead of the shuffle by itself;
+        # beyond it, rank slices of the group first, so that no task sorts a whole hot one
+        salt = F.pmod(F.xxhash64("series_key", "value", *tie), F.lit(SLICES))
+        inside = Window.partitionBy(*names, "step_ts", "__salt").orderBy(*order)
+        out = out.withColumn("__salt", salt).withColumn("__part", F.row_number().over(inside)) \
+            .where(F.col("__part") <= k)
     place = F.row_number().over(Window.partitionBy(*names, "step_ts").orderBy(*order))
-    return out.withColumn("__salt", salt).withColumn("__part", part) \
-        .where(F.col("__part") <= k).withColumn("place", place).where(F.col("place") <= k) \
+    return out.withColumn("place", place).where(F.col("place") <= k) \
         .select(*points.columns, "place")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.functions.ids import fnv32a, key_text_of
@@ -16,21 +16,29 @@ from tidegrid.functions.times import (Duration, Moment, as_timedelta, from_milli
 from tidegrid.sources.points import SERIES, distinct_rows
 
 DEFAULT_LIMIT = 1000
+# Columns a stored table may be cut by, and the width of a partition.
+CUTS = {"day": "block_date", "month": "block_month", "year": "block_year"}
 # id lists up to this length become an IN filter, longer ones a join
 INLINE_IDS = 1000
 
 
 def in_range(df: DataFrame, start: Moment, end: Moment) -> DataFrame:
-    """Samples with ``start <= ts < end``; on a table cut by ``block_date`` the dates are
-    tested too, so that whole partitions are left out."""
+    """Samples with ``start <= ts < end``; on a table cut by date the partitions outside
+    are left out."""
     start, end = moment(start), moment(end)
     kept = df.where((F.col("ts") >= start) & (F.col("ts") < end))
-    if "block_date" in df.columns:
-        kept = kept.where((F.col("block_date") >= F.to_date(start))
-                          & (F.col("block_date") <= F.to_date(end)))
+    for cut, column in CUTS.items():
+        if column in df.columns:
+            kept = kept.where((F.col(column) >= cut_date(start, cut))
+                              & (F.col(column) <= F.to_date(end)))
     return kept
 
 
+def cut_date(ts: Column, cut: str) -> Column:
+    """First day of the partition that holds ``ts``."""
+    return F.to_date(ts) if cut == "day" else F.trunc(F.to_date(ts), cut)
+
+
 def fetch(points: DataFrame, matchers: Iterable[Matcher], start: Moment, end: Moment,
           name: str | None = None, limit: int | None = None,
           series: DataFrame | None = None) -> DataFrame:

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.functions.times import (Duration, Moment, micros_of, moment, step_index,
-                                      step_millis, step_time, tumbling)
+from tidegrid.functions.times import (Duration, Moment, interval, micros_of, moment,
+                                      step_index, step_millis, step_time, tumbling)
 from tidegrid.functions.values import NAN
 from tidegrid.operators.fetch import in_range
 from tidegrid.operators.position import HOT_ROWS, with_position
@@ -88,10 +88,8 @@ def dense_grid(points: DataFrame, start: Moment, end: Moment, step: Duration,
     window = in_range(points, start, end)
     cells = window.select(*by, step_index(F.col("ts"), start, step).alias("step_idx"),
                           "ts", "value", F.lit(1).alias("real"))
-    last = F.call_function(
-        "div",
-        F.timestamp_diff("MICROSECOND", moment(start), moment(end)) + F.lit(micros_of(step) - 1),
-        F.lit(micros_of(step))) - 1
+    # the last step that begins before the end
+    last = step_index(moment(end) - interval("1us"), start, step)
     empty = distinct_rows(window, *by).select(
         *by, F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("step_idx"),
         F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(None).cast("double").alias("value"),

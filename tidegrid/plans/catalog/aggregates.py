@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions.values import NAN
 from tidegrid.operators import aggregate as op
+from tidegrid.operators.fetch import fetch
 from tidegrid.operators.grid import consolidate
+from tidegrid.operators.vector import vector
 from tidegrid.plans import compose
-from tidegrid.plans.catalog.common import EVENTS, LINES, bucket
+from tidegrid.plans.catalog.common import EVENTS, FIRST, LAST, LINES, bucket
 from tidegrid.plans.registry import query
 from tidegrid.sources.points import events_points, lineitem_points
 
@@ -18,10 +20,15 @@ HOURLY_SQL = f"""(
          round(sum(value), 6) AS value FROM {EVENTS} GROUP BY ALL)"""
 
 
-def hourly(spark, sf_dir):
-    points = events_points(spark, sf_dir, keep=[])
-    return consolidate(points, {"default": "1h"}, "sum", by=["name", "series_key", "tags"]) \
-        .withColumn("value", F.round("value", 6))
+EVENT_TAGS = ["event_type", "user_id"]
+
+
+def hourly(spark, sf_dir, matchers=()):
+    """The tags are grouped on as columns; map and key text are made of them afterwards."""
+    points = fetch(events_points(spark, sf_dir), matchers, FIRST, LAST)
+    tagged = points.select("*", *op.tag_columns(points, EVENT_TAGS))
+    summed = consolidate(tagged, {"default": "1h"}, "sum", by=EVENT_TAGS)
+    return vector(summed, EVENT_TAGS, name="events").withColumn("value", F.round("value", 6))
 
 
 @query("q09_step_sum", f"""
@@ -185,7 +192,6 @@ SELECT step_ts, round(max(value), 6) AS value FROM (
 def composed(spark, sf_dir):
     """A source function and operator functions, chained."""
     from tidegrid.functions.matchers import neq
-    from tidegrid.operators.fetch import fetch
     return compose.run(
         spark, lambda s: lineitem_points(s, sf_dir),
         lambda df: fetch(df, [neq("returnflag", "N")], "1990-01-01", "2010-01-01"),

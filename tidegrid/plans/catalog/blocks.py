@@ -97,13 +97,23 @@ def misaligned(spark, sf_dir):
     return op.misaligned_blocks(two_day_blocks(spark, sf_dir))
 
 
-@query("q81_namespaces_aligned", f"""
-SELECT series_key, 0::INTEGER AS block_idx FROM {EVENTS} WHERE false""")
-def namespaces_aligned(spark, sf_dir):
-    """The two namespaces of each series have the same blocks: nothing is reported."""
-    per_namespace = op.series_blocks(two_namespaces(spark, sf_dir), "48h")
+@query("q81_namespaces_misaligned", f"""
+WITH samples AS (SELECT '10m' AS namespace, series_key, ts FROM {EVENTS}
+                 UNION ALL SELECT '1h', series_key, ts FROM {EVENTS} WHERE value > 20),
+     blocks AS (
+  SELECT *, row_number() OVER (PARTITION BY namespace, series_key ORDER BY block_start) - 1
+         AS block_idx
+  FROM (SELECT DISTINCT namespace, series_key, {bucket('2 days')} AS block_start FROM samples))
+SELECT series_key, block_idx::INTEGER AS block_idx, min(block_start) AS min_start,
+       max(block_start) AS max_start
+FROM blocks GROUP BY ALL HAVING min(block_start) <> max(block_start)""")
+def namespaces_misaligned(spark, sf_dir):
+    """A second namespace with gaps: its i-th block is no longer the first one's i-th."""
+    fine = events_points(spark, sf_dir, namespace="10m")
+    sparse = events_points(spark, sf_dir, namespace="1h").where("value > 20")
+    per_namespace = op.series_blocks(fine.unionByName(sparse), "48h")
     return op.misaligned_blocks(per_namespace, by=["series_key"], member="namespace") \
-        .select("series_key", "block_idx")
+        .select("series_key", "block_idx", "min_start", "max_start")
 
 
 @query("q20_common_tags", f"""

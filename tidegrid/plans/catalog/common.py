@@ -24,9 +24,8 @@ def bucket(width: str, ts: str = "ts") -> str:
 
 def fnv(text: str) -> str:
     """32-bit FNV-1a of a text expression."""
-    data = f"encode({text})"
-    return (f"list_reduce(list_transform(range(1, octet_length({data}) + 1), lambda i: "
-            f"('0x' || substr(hex({data}), 2 * i - 1, 2))::BIGINT), "
+    return (f"list_reduce(list_transform(regexp_extract_all(hex(encode({text})), '..'), "
+            "lambda h: ('0x' || h)::BIGINT), "
             "lambda a, x: (xor(a, x) * 16777619) & 4294967295, 2166136261::BIGINT)")
 
 

@@ -180,7 +180,7 @@ WITH series AS (SELECT series_key, {fnv('series_key')}::VARCHAR AS id
 SELECT id, ts, value FROM {LINES} JOIN series USING (series_key)""")
 def untagged_write(spark, sf_dir):
     path = scratch_path(spark, "untagged")
-    point_sink.write_untagged(lineitem_points(spark, sf_dir), path)
+    point_sink.write_untagged(lineitem_points(spark, sf_dir), path, cut="year")
     return point_sink.read_points(spark, path).select("id", "ts", "value")
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidegrid.functions.matchers import eq
 from tidegrid.operators import aggregate as agg
 from tidegrid.operators import vector as op
+from tidegrid.operators.grid import consolidate
 from tidegrid.plans.catalog.aggregates import HOURLY_SQL, hourly
 from tidegrid.plans.catalog.common import LINES, bucket
 from tidegrid.plans.registry import query
@@ -26,7 +28,7 @@ def by_tag(spark, sf_dir, tag):
 
 
 def one_type(spark, sf_dir, event_type):
-    return hourly(spark, sf_dir).where(F.col("tags")["event_type"] == event_type)
+    return hourly(spark, sf_dir, [eq("event_type", event_type)])
 
 
 _ARITHMETIC_SQL = {
@@ -151,9 +153,10 @@ SELECT series_key, step_ts, round(value / total, 6) AS value
 FROM daily JOIN total USING (l_returnflag, step_ts)""")
 def share_lineitem(spark, sf_dir):
     """Three hot match keys: every series of a return flag against the flag's total."""
-    from tidegrid.operators.grid import consolidate
-    weekly = consolidate(lineitem_points(spark, sf_dir, keep=[]), {"default": "168h"}, "sum",
-                         by=["name", "series_key", "tags"])
+    tags = ["linestatus", "returnflag", "suppkey"]
+    points = lineitem_points(spark, sf_dir, keep=[])
+    tagged = points.select("*", *agg.tag_columns(points, tags))
+    weekly = op.vector(consolidate(tagged, {"default": "168h"}, "sum", by=tags), tags)
     total = op.vector(agg.aggregate(weekly, "sum", by=["returnflag"]), ["returnflag"])
     return op.group_left(weekly, total, "/", on=["returnflag"]) \
         .select("series_key", "step_ts", rounded())

@@ -10,34 +10,35 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions.ids import fnv32a
 from tidegrid.functions.matchers import tag_column
-from tidegrid.operators.fetch import series_of
+from tidegrid.operators.fetch import CUTS, cut_date, series_of
 from tidegrid.sources.stores import Store, StoreFilter, filter_stores, local_only
 
 POINT_COLUMNS = ["namespace", "name", "series_key", "tags", "ts", "value"]
 
 
-def layout(points: DataFrame, promote: Sequence[str] = (),
-           keep: Sequence[str] = ()) -> DataFrame:
-    """Stored form: tags kept, ``block_date`` to cut the table by, and the tags named in
+def layout(points: DataFrame, promote: Sequence[str] = (), keep: Sequence[str] = (),
+           cut: str = "day") -> DataFrame:
+    """Stored form: tags kept, a date column to cut the table by, and the tags named in
     ``promote`` also as ``tag_<name>`` columns, on which scans can filter."""
     return points.select(
         *POINT_COLUMNS, *keep,
         *[tag_column(t, points.columns).alias(f"tag_{t}") for t in promote],
-        F.to_date("ts").alias("block_date"))
+        cut_date(F.col("ts"), cut).alias(CUTS[cut]))
 
 
 def write_points(points: DataFrame, path: str, promote: Sequence[str] = (),
-                 keep: Sequence[str] = (), mode: str = "append") -> None:
-    """Append points, cut by date and sorted by series and time in each file.
+                 keep: Sequence[str] = (), mode: str = "append", cut: str = "day") -> None:
+    """Append points, cut by day, month or year, sorted by series and time in each file.
 
     The rebalance hint lets Spark split a heavy date over several files and put light ones
     together.
     """
     if points is None:
         raise ValueError("nothing to write: no points given")
-    layout(points, promote, keep).hint("rebalance", "block_date") \
-        .sortWithinPartitions("block_date", "series_key", "ts") \
-        .write.mode(mode).partitionBy("block_date").parquet(path)
+    column = CUTS[cut]
+    layout(points, promote, keep, cut).hint("rebalance", column) \
+        .sortWithinPartitions(column, "series_key", "ts") \
+        .write.mode(mode).partitionBy(column).parquet(path)
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:
@@ -51,7 +52,8 @@ def write_series(points: DataFrame, path: str, mode: str = "overwrite") -> None:
         .hint("rebalance").write.mode(mode).parquet(path)
 
 
-def write_untagged(points: DataFrame, path: str, mode: str = "append") -> None:
+def write_untagged(points: DataFrame, path: str, mode: str = "append",
+                   cut: str = "day") -> None:
     """Points as (id, ts, value) alone.  The id is hashed once per series and joined to
     its samples; the tags are not stored, so keep the series table of
     :func:`write_series` with it."""
@@ -59,9 +61,9 @@ def write_untagged(points: DataFrame, path: str, mode: str = "append") -> None:
     ids = points.select(*keys).distinct() \
         .withColumn("id", fnv32a(F.col("series_key")).cast("string"))
     points.join(ids, keys).select("namespace", "id", "ts", "value",
-                                  F.to_date("ts").alias("block_date")) \
-        .hint("rebalance", "block_date") \
-        .write.mode(mode).partitionBy("block_date").parquet(path)
+                                  cut_date(F.col("ts"), cut).alias(CUTS[cut])) \
+        .hint("rebalance", CUTS[cut]) \
+        .write.mode(mode).partitionBy(CUTS[cut]).parquet(path)
 
 
 def fanout_write(points: DataFrame, stores: Sequence[Store],

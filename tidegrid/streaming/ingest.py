@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegrid.functions.times import (Duration, Moment, as_timedelta, epoch, interval, moment,
-                                      tumbling, window_text)
+                                      to_micros, tumbling, window_text)
 from tidegrid.operators.grid import fold
 from tidegrid.sinks.points import layout
 from tidegrid.sources.stores import Store, StoreFilter, filter_stores, local_only
@@ -123,8 +123,7 @@ def consolidate_stream(points: DataFrame, settings: NamespaceSettings, fn: str,
     ``buffer_past`` is the watermark delay; a window leaves once no admitted sample can
     reach it any more.  Watermarks need an instant, so ``ts`` is read as UTC here.
     """
-    at = points.withColumn("at", F.timestamp_micros(
-        F.timestamp_diff("MICROSECOND", epoch(), F.col("ts"))))
+    at = points.withColumn("at", F.timestamp_micros(to_micros(F.col("ts"))))
     return at.withWatermark("at", window_text(settings.buffer_past)) \
         .groupBy(*by, tumbling(F.col("at"), settings.block_size).alias("w")) \
         .agg(fold(fn, F.col("value"), F.col("at")).alias("value")) \
