@@ -33,8 +33,8 @@ def key_text_of(tags: dict[str, Column]) -> Column:
 def fnv32a(text: Column) -> Column:
     """32-bit FNV-1a over the UTF-8 bytes, as BIGINT.
 
-    Walks the bytes with a lambda, so it belongs after an aggregation to series level,
-    never in front of one.
+    Walks the bytes with a lambda, so it belongs behind an aggregation to series level
+    where there is one, rather than in front.
     """
     # one character per byte: Latin-1 maps each byte to the code point of the same number
     letters = F.split(F.decode(F.encode(text, "UTF-8"), "ISO-8859-1"), "")

@@ -1,10 +1,11 @@
-"""Running position of rows inside a key, without one task per key.
-
-``row_number`` over a long series is a single task.  Here the key is cut by an
-order-preserving bucket: rows are counted per (key, bucket), the counts are summed up
-along the buckets (one row per bucket), and each (key, bucket) is numbered on its own,
-starting from the sum before it.  Where even one bucket is too large, slices of the whole
-order, balanced by Spark's range partitioner, take the place of the buckets.
+"""Running position of rows inside a key, without one task per long key.
+
+``row_number`` over a key is a single task.  That is right as long as no key is long, so
+the keys are counted first.  A long key is cut by an order-preserving bucket: rows are
+counted per (key, bucket), the counts are summed up along the buckets (one row per
+bucket), and each (key, bucket) is numbered on its own, starting from the sum before it.
+Where even one bucket is too large, slices of the whole order, balanced by Spark's range
+partitioner, take the place of the buckets.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.session import durable
 
-# A (key, bucket) with more rows than this is not sorted by a single task.
+# No task sorts more rows of one key than this.
 HOT_ROWS = 4_000_000
 # Copies of one row are spread out again in runs of this length.
 COPY_RUN = 1_000_000
@@ -30,20 +31,25 @@ def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], buck
     """Add ``out``: the weight (rows, by default) before each row of its key in ``order``.
 
     ``bucket`` must never fall while ``order`` rises.  ``total_out`` adds the whole
-    weight of the key.  Null keys form one key, as in ``groupBy``.  The counts are needed
-    to pick the plan and are stored for reuse, so the scan for them runs at call time.
+    weight of the key.  Null keys form one key, as in ``groupBy``.  The counting that
+    picks the plan runs at call time; it brings one number to the driver.
     """
-    rows = df.withColumn(_BUCKET, bucket).withColumn(
-        _WEIGHT, F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint"))
-    totals = durable(_totals(rows, keys))
-    if totals.where(F.col("__rows") > hot_rows).isEmpty():
-        result = _number(rows, totals, keys, order, out, total_out)
-        return result.select(*df.columns, *_extra(out, total_out))
-    return _number_sliced(rows.drop(_BUCKET), df.columns, keys, order, out, total_out)
+    rows = df.withColumn(_WEIGHT, F.col(weight).cast("bigint") if weight
+                         else F.lit(1).cast("bigint"))
+    if _largest(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))) <= hot_rows:
+        numbered = _number_plain(rows, keys, order, out, total_out)
+    else:
+        cut = rows.withColumn(_BUCKET, bucket)
+        totals = durable(_totals(cut, keys))
+        if _largest(totals) <= hot_rows:
+            numbered = _number(cut, totals, keys, order, out, total_out)
+        else:
+            numbered = _number_sliced(rows, keys, order, out, total_out)
+    return numbered.select(*df.columns, out, *([total_out] if total_out else []))
 
 
-def _extra(out: str, total_out: str | None) -> list[str]:
-    return [out, total_out] if total_out else [out]
+def _largest(counts: DataFrame) -> int:
+    return counts.agg(F.max("__rows")).first()[0] or 0
 
 
 def _totals(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -51,6 +57,14 @@ def _totals(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.sum(_WEIGHT).alias(_TOTAL), F.count(F.lit(1)).alias("__rows"))
 
 
+def _number_plain(rows: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
+                  total_out: str | None) -> DataFrame:
+    key = Window.partitionBy(*keys)
+    before = key.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    numbered = rows.withColumn(out, F.coalesce(F.sum(_WEIGHT).over(before), F.lit(0)))
+    return numbered.withColumn(total_out, F.sum(_WEIGHT).over(key)) if total_out else numbered
+
+
 def _number(rows: DataFrame, totals: DataFrame, keys: Sequence[str], order: Sequence[str],
             out: str, total_out: str | None) -> DataFrame:
     along = Window.partitionBy(*keys)
@@ -72,8 +86,8 @@ def _number(rows: DataFrame, totals: DataFrame, keys: Sequence[str], order: Sequ
     return numbered.where(F.col(_FIRST) == 1)
 
 
-def _number_sliced(rows: DataFrame, columns: Sequence[str], keys: Sequence[str],
-                   order: Sequence[str], out: str, total_out: str | None) -> DataFrame:
+def _number_sliced(rows: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
+                   total_out: str | None) -> DataFrame:
     # equal rows cannot be told apart by any order, so they travel as one row and a count
     packed = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("__copies"))
     # the payload ends the order: rows with equal order columns can part ways too
@@ -91,5 +105,4 @@ def _number_sliced(rows: DataFrame, columns: Sequence[str], keys: Sequence[str],
     runs = runs.repartition(*keys, out, "__run")
     spread = runs.withColumn("__i", F.explode(F.sequence(
         F.col("__run"), F.least(F.col("__run") + COPY_RUN, F.col("__copies")) - 1)))
-    return spread.withColumn(out, F.col(out) + F.col("__i") * F.col("__each")) \
-        .select(*columns, *_extra(out, total_out))
+    return spread.withColumn(out, F.col(out) + F.col("__i") * F.col("__each"))

@@ -24,19 +24,43 @@ def regrid(spark, sf_dir):
         .select("event_id", "series_key", "step_idx", "step_ts", "value")
 
 
-@query("q76_regrid_lineitem", f"""
-SELECT l_orderkey, l_linenumber, series_key, step_idx,
-       TIMESTAMP '1995-01-01' + to_seconds(step_idx * 10) AS step_ts, value
-FROM (SELECT *, row_number() OVER (PARTITION BY series_key
-             ORDER BY ts, l_orderkey, l_linenumber, value, l_partkey) - 1 AS step_idx
-      FROM {LINES})""")
-def regrid_lineitem(spark, sf_dir):
+def _positional_sql(order: str, start: str, step_seconds: int, source: str, columns: str) -> str:
+    return f"""
+SELECT {columns}, series_key, step_idx,
+       TIMESTAMP '{start}' + to_seconds(step_idx * {step_seconds}) AS step_ts, value
+FROM (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY {order}) - 1 AS step_idx
+      FROM {source})"""
+
+
+_LINE_ORDER = ["l_orderkey", "l_linenumber", "value", "l_partkey"]
+_LINE_SQL = _positional_sql("ts, " + ", ".join(_LINE_ORDER), "1995-01-01", 10, LINES,
+                            "l_orderkey, l_linenumber")
+
+
+def _lines_regridded(spark, sf_dir, **plan):
     points = lineitem_points(spark, sf_dir, keep=["l_orderkey", "l_linenumber", "l_partkey"])
-    return op.regrid(points, "1995-01-01", "10s",
-                     tie=["l_orderkey", "l_linenumber", "value", "l_partkey"], block="8760h") \
+    return op.regrid(points, "1995-01-01", "10s", tie=_LINE_ORDER, block="8760h", **plan) \
         .select("l_orderkey", "l_linenumber", "series_key", "step_idx", "step_ts", "value")
 
 
+@query("q76_regrid_lineitem", _LINE_SQL)
+def regrid_lineitem(spark, sf_dir):
+    return _lines_regridded(spark, sf_dir)
+
+
+@query("q103_regrid_cut", _positional_sql("ts, event_id", FIRST, 60, EVENTS, "event_id"))
+def regrid_cut(spark, sf_dir):
+    """The plan for long series: numbered block by block."""
+    return op.regrid(events_points(spark, sf_dir), FIRST, "1m", tie=["event_id"], hot_rows=12) \
+        .select("event_id", "series_key", "step_idx", "step_ts", "value")
+
+
+@query("q104_regrid_sliced", _LINE_SQL)
+def regrid_sliced(spark, sf_dir):
+    """The plan for series that are long even inside one block: balanced slices."""
+    return _lines_regridded(spark, sf_dir, hot_rows=10)
+
+
 # the events at ten minutes, and their hourly sums as a second namespace
 _TWO_NAMESPACES = f"""(
   SELECT '10m' AS namespace, series_key, ts, value FROM {EVENTS}

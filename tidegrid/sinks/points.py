@@ -54,14 +54,14 @@ def write_series(points: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_untagged(points: DataFrame, path: str, mode: str = "append",
                    cut: str = "day") -> None:
-    """Points as (id, ts, value) alone.  The id is hashed once per series and joined to
-    its samples; the tags are not stored, so keep the series table of
-    :func:`write_series` with it."""
-    keys = ["namespace", "series_key"]
-    ids = points.select(*keys).distinct() \
-        .withColumn("id", fnv32a(F.col("series_key")).cast("string"))
-    points.join(ids, keys).select("namespace", "id", "ts", "value",
-                                  cut_date(F.col("ts"), cut).alias(CUTS[cut])) \
+    """Points as (id, ts, value) alone.  The tags are not stored, so keep the series table
+    of :func:`write_series` with it.
+
+    The id is hashed row by row: a join with ids hashed once per series would move all
+    samples across the network, and those of a hot series to one task.
+    """
+    points.select("namespace", fnv32a(F.col("series_key")).cast("string").alias("id"), "ts",
+                  "value", cut_date(F.col("ts"), cut).alias(CUTS[cut])) \
         .hint("rebalance", CUTS[cut]) \
         .write.mode(mode).partitionBy(CUTS[cut]).parquet(path)
 

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegrid.functions.times import (Duration, Moment, as_timedelta, epoch, interval, moment,
                                       to_micros, tumbling, window_text)
+from tidegrid.operators.fetch import CUTS, cut_date
 from tidegrid.operators.grid import fold
 from tidegrid.sinks.points import layout
 from tidegrid.sources.stores import Store, StoreFilter, filter_stores, local_only
@@ -51,15 +52,19 @@ def retained(points: DataFrame, now: Moment, settings: NamespaceSettings) -> Dat
     """Samples inside the retention period; on a stored table old dates are not read."""
     oldest = moment(now) - interval(settings.retention)
     kept = points.where(F.col("ts") >= oldest)
-    if "block_date" in points.columns:
-        kept = kept.where(F.col("block_date") >= F.to_date(oldest))
+    for cut, column in CUTS.items():
+        if column in points.columns:
+            kept = kept.where(F.col(column) >= cut_date(oldest, cut))
     return kept
 
 
 def expired_dates(points: DataFrame, now: Moment, settings: NamespaceSettings) -> DataFrame:
-    """The dates of a stored table that hold nothing but expired samples."""
-    oldest = moment(now) - interval(settings.retention)
-    return points.select("block_date").where(F.col("block_date") < F.to_date(oldest)).distinct()
+    """The partitions of a stored table that hold nothing but expired samples."""
+    oldest = F.to_date(moment(now) - interval(settings.retention))
+    column = next(c for c in CUTS.values() if c in points.columns)
+    last_day = {"block_date": F.col(column), "block_month": F.last_day(column),
+                "block_year": F.date_sub(F.add_months(column, 12), 1)}[column]
+    return points.select(column).where(last_day < oldest).distinct()
 
 
 def request_stream(spark: SparkSession, path: str, fmt: str = "json",
