@@ -87,7 +87,7 @@ def test_end_is_exclusive(spark):
 
 def test_selector(spark):
     assert str(fetching.Selector("m", (eq("a", "b"),), "5m", "1m")) == \
-        'type: fetch. name: m, range: 5m, offset: 1m, matchers: [a="b"]'
+        'm{a="b"}[5m] offset 1m'
     now = T + timedelta(minutes=5)
     assert fetching.Selector(offset="5m", range="1m").apply(small(spark), now).count() == 2
     assert fetching.Selector(offset="4m", range="1m", direction="lookback") \

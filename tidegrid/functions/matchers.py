@@ -41,7 +41,7 @@ _PREFIX = re.compile(r"([\w\- ]+)\.\*", re.ASCII)
 def match_type_of(code: int) -> MatchType:
     """The match type of a wire code; an unknown code is an error."""
     if code not in WIRE_CODES:
-        raise ValueError(f"unknown match type {code}")
+        raise ValueError(f"no match type has code {code}")
     return WIRE_CODES[code]
 
 
@@ -120,6 +120,6 @@ def to_tags(matchers: Iterable[Matcher]) -> dict[str, str]:
     tags = {}
     for m in matchers:
         if m.type is not MatchType.EQUAL:
-            raise ValueError(f"illegal match type {m.type}, expecting {MatchType.EQUAL}")
+            raise ValueError(f"{m} is no equality, so it names no tag value")
         tags[m.name] = m.value
     return tags

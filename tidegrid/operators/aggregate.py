@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from tidegrid.functions.ids import key_text
 from tidegrid.functions.matchers import tag_column
 from tidegrid.functions.times import Duration, tumbling
-from tidegrid.functions.values import NAN
+from tidegrid.functions.values import nan_for_null
 from tidegrid.operators.position import HOT_ROWS, with_position
 
 # How many ways a group is sliced for a top-k too long to be cut ahead of the shuffle.
-SLICES = 64
+SLICES = 1024
 
 
 def step_sum(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -58,8 +58,8 @@ AGGREGATORS = {
     "sum": F.sum,
     "avg": F.avg,
     "count": lambda v: F.count(v).cast("double"),
-    "min": lambda v: F.coalesce(F.min(_present(v)), F.lit(NAN)),
-    "max": lambda v: F.coalesce(F.max(_present(v)), F.lit(NAN)),
+    "min": lambda v: nan_for_null(F.min(_present(v))),
+    "max": lambda v: nan_for_null(F.max(_present(v))),
     "stddev": F.stddev_pop,
     "stdvar": F.var_pop,
 }
@@ -157,10 +157,3 @@ def quantile(points: DataFrame, q: float, by: Sequence[str] | None = None,
     value = F.when(part == 0, F.col("low")).otherwise(
         F.col("low") * (F.lit(1.0) - part) + F.col("high") * part)
     return picked.select(*keys, value.alias("value"))
-
-
-def quantile_approx(points: DataFrame, q: float, by: Sequence[str] | None = None,
-                    without: Sequence[str] | None = None, accuracy: int = 10_000) -> DataFrame:
-    """A sketch of the quantile, in one aggregation."""
-    return points.groupBy(*group_columns(points, by, without), "step_ts") \
-        .agg(F.approx_percentile("value", F.lit(q), F.lit(accuracy)).alias("value"))

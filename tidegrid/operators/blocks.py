@@ -69,7 +69,7 @@ def check_aligned(blocks: DataFrame, by: Sequence[str] = (),
                   member: str = "series_key") -> DataFrame:
     """``blocks`` unchanged, or :class:`BlocksMisaligned`."""
     if not misaligned_blocks(blocks, by, member).isEmpty():
-        raise BlocksMisaligned("blocks misaligned")
+        raise BlocksMisaligned("blocks of equal index differ in their bounds")
     return blocks
 
 

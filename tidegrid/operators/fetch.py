@@ -121,9 +121,8 @@ class Selector:
     direction: str = "forward"
 
     def __str__(self) -> str:
-        listed = ", ".join(map(str, self.matchers))
-        return (f"type: fetch. name: {self.name}, range: {self.range}, "
-                f"offset: {self.offset}, matchers: [{listed}]")
+        tests = ",".join(map(str, self.matchers))
+        return f"{self.name or ''}{{{tests}}}[{self.range}] offset {self.offset}"
 
     def apply(self, points: DataFrame, now: Moment) -> DataFrame:
         at = moment(now) - interval(self.offset)

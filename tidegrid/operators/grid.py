@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions.times import (Duration, Moment, interval, micros_of, moment,
                                       step_index, step_millis, step_time, tumbling)
-from tidegrid.functions.values import NAN
+from tidegrid.functions.values import nan_for_null
 from tidegrid.operators.fetch import in_range
 from tidegrid.operators.position import HOT_ROWS, with_position
 from tidegrid.sources.points import SERIES, distinct_rows
@@ -33,8 +33,8 @@ def fold(fn: str, value: Column, ts: Column) -> Column:
         "sum": lambda: F.sum(value),
         "avg": lambda: F.avg(value),
         "count": lambda: F.count(value).cast("double"),
-        "min": lambda: F.coalesce(F.min(present), F.lit(NAN)),
-        "max": lambda: F.coalesce(F.max(present), F.lit(NAN)),
+        "min": lambda: nan_for_null(F.min(present)),
+        "max": lambda: nan_for_null(F.max(present)),
         "last": lambda: F.max_by(value, ts),
     }
     if fn not in folds:
@@ -96,7 +96,7 @@ def dense_grid(points: DataFrame, start: Moment, end: Moment, step: Duration,
         F.lit(None).cast("int").alias("real"))
     grid = cells.unionByName(empty).groupBy(*by, "step_idx").agg(
         fold(fn, F.col("value"), F.col("ts")).alias("value"), F.count("real").alias("real"))
-    value = F.when(F.col("real") > 0, F.col("value")).otherwise(F.lit(NAN))
+    value = nan_for_null(F.when(F.col("real") > 0, F.col("value")))
     return grid.select(*by, "step_idx", step_time(F.col("step_idx"), start, step)
                        .alias("step_ts"), value.alias("value"))
 

@@ -32,24 +32,27 @@ def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], buck
 
     ``bucket`` must never fall while ``order`` rises.  ``total_out`` adds the whole
     weight of the key.  Null keys form one key, as in ``groupBy``.  The counting that
-    picks the plan runs at call time; it brings one number to the driver.
+    picks the plan runs at call time; it brings two numbers to the driver.
     """
     rows = df.withColumn(_WEIGHT, F.col(weight).cast("bigint") if weight
                          else F.lit(1).cast("bigint"))
-    if _largest(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))) <= hot_rows:
+    largest, n_rows = _largest(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")))
+    if largest <= hot_rows:
         numbered = _number_plain(rows, keys, order, out, total_out)
     else:
         cut = rows.withColumn(_BUCKET, bucket)
         totals = durable(_totals(cut, keys))
-        if _largest(totals) <= hot_rows:
+        if _largest(totals)[0] <= hot_rows:
             numbered = _number(cut, totals, keys, order, out, total_out)
         else:
-            numbered = _number_sliced(rows, keys, order, out, total_out)
+            numbered = _number_sliced(rows, keys, order, out, total_out, n_rows)
     return numbered.select(*df.columns, out, *([total_out] if total_out else []))
 
 
-def _largest(counts: DataFrame) -> int:
-    return counts.agg(F.max("__rows")).first()[0] or 0
+def _largest(counts: DataFrame) -> tuple[int, int]:
+    """The largest count, and all together."""
+    most, together = counts.agg(F.max("__rows"), F.sum("__rows")).first()
+    return most or 0, together or 0
 
 
 def _totals(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -87,7 +90,9 @@ def _number(rows: DataFrame, totals: DataFrame, keys: Sequence[str], order: Sequ
 
 
 def _number_sliced(rows: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
-                   total_out: str | None) -> DataFrame:
+                   total_out: str | None, n_rows: int) -> DataFrame:
+    slices = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                 -(-n_rows // HOT_ROWS))
     # equal rows cannot be told apart by any order, so they travel as one row and a count
     packed = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("__copies"))
     # the payload ends the order: rows with equal order columns can part ways too
@@ -95,7 +100,7 @@ def _number_sliced(rows: DataFrame, keys: Sequence[str], order: Sequence[str], o
             if f.name not in {*keys, *order, _WEIGHT, "__copies"}
             and f.dataType.typeName() not in ("map", "variant")]
     full = [*order, *rest]
-    sliced = durable(packed.repartitionByRange(*keys, *full)
+    sliced = durable(packed.repartitionByRange(slices, *keys, *full)
                      .withColumn(_BUCKET, F.spark_partition_id())
                      .withColumn("__each", F.col(_WEIGHT))
                      .withColumn(_WEIGHT, F.col("__each") * F.col("__copies")))

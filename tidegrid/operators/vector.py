@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from tidegrid.functions.ids import key_text, key_text_of
 from tidegrid.functions.matchers import tag_column
 
-# How many ways the rows of one match key are spread on the side that may have many.
+# How many ways the rows of one match key are spread on the side that may have many; a
+# power of two.
 SPREAD = 8
 
 ARITHMETIC = {
@@ -23,10 +24,7 @@ ARITHMETIC = {
     "-": lambda a, b: a - b,
     "*": lambda a, b: a * b,
     # IEEE division, remainder and power: by zero gives infinity or NaN, never an error
-    "/": lambda a, b: F.when(b != 0, a / F.nullif(b, F.lit(0.0))).otherwise(
-        F.when(F.isnan(a) | (a == 0), F.lit(float("nan")))
-        .otherwise(F.signum(a) * F.when(F.atan2(b, F.lit(-1.0)) < 0, F.lit(float("-inf")))
-                   .otherwise(F.lit(float("inf"))))),
+    "/": lambda a, b: F.when(b != 0, a / F.nullif(b, F.lit(0.0))).otherwise(a * F.pow(b, F.lit(-1))),
     "%": lambda a, b: F.when(b != 0, a % F.nullif(b, F.lit(0.0))).otherwise(
         F.lit(float("nan"))),
     "^": F.pow,
@@ -110,7 +108,9 @@ def _with_match(df: DataFrame, on, ignoring) -> tuple[DataFrame, list[str]]:
 def _spread_join(many: DataFrame, one: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join where ``one`` has a row per (key, step) and ``many`` any number: the many rows
     of a key are spread over SPREAD tasks and the one row goes to each of them."""
-    salt = F.pmod(F.xxhash64("series_key"), F.lit(SPREAD))
+    # not nullable, so no null test on it wanders down to the scan, where it would keep two
+    # uses of one vector from sharing their shuffle
+    salt = F.xxhash64("series_key").bitwiseAND(F.lit(SPREAD - 1))
     copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint")))
     return many.withColumn("__salt", salt).join(
         one.withColumn("__salt", copies), [*keys, "step_ts", "__salt"], how).drop("__salt")

@@ -36,7 +36,7 @@ class Query:
 class Store:
     """A named points table; ``series`` optionally holds its distinct series.
 
-    ``lossy`` gives values the 32-bit precision of the link between coordinators.
+    ``lossy`` gives values the 32-bit precision of the link between sites.
     ``path`` is where writes to the store go.
     """
     label: str

@@ -1,5 +1,5 @@
 """Nested records in and out: write requests, JSON metric lines, series of the link
-between coordinators."""
+between sites."""
 
 from __future__ import annotations
 
