@@ -48,7 +48,8 @@ def micros_of(duration: Duration) -> int:
 
 def step_millis(resolution: Duration) -> int:
     """A resolution as whole milliseconds, truncated."""
-    return int(micros_of(resolution) / 1000)
+    micros = micros_of(resolution)
+    return micros // 1000 if micros >= 0 else -(-micros // 1000)
 
 
 def interval(duration: Duration) -> Column:

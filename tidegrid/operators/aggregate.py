@@ -137,11 +137,13 @@ def quantile(points: DataFrame, q: float, by: Sequence[str] | None = None,
     if q < 0 or q > 1:
         edge = float("-inf") if q < 0 else float("inf")
         return points.groupBy(*groups, "step_ts").agg(F.lit(edge).alias("value"))
-    counted = points.groupBy(*groups, "step_ts", "value").agg(F.count(F.lit(1)).alias("n"))
-    keys = [c for c in counted.columns if c not in ("value", "n")]
+    grouped = points.select(*groups, "step_ts", "value")
+    keys = [c for c in grouped.columns if c != "value"]
+    counted = grouped.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
     counted = counted.withColumn("real", ~F.isnan("value"))
     placed = with_position(counted, keys, ["real", "value"], _magnitude(F.col("value")),
-                           out="before", weight="n", total_out="size", hot_rows=hot_rows)
+                           out="before", weight="n", total_out="size", hot_rows=hot_rows,
+                           count_on=grouped)
     rank = F.lit(float(q)) * (F.col("size") - 1)
 
     def covers(at: Column) -> Column:

@@ -50,29 +50,31 @@ def fetch(points: DataFrame, matchers: Iterable[Matcher], start: Moment, end: Mo
     number of series, never of samples.
     """
     matchers = list(matchers)
-    if series is None and limit is None:
-        kept = in_range(points, start, end).where(all_of(matchers, points.columns))
-        return kept.where(F.col("name") == name) if name is not None else kept
     window = in_range(points, start, end)
-    known = search(window if series is None else series, matchers, name)
-    chosen = known.select(*SERIES)
+    if series is None and limit is None:
+        return matching(window, matchers, name)
+    chosen = matching(window if series is None else series, matchers, name).select(*SERIES)
     if limit is not None:
-        chosen = chosen.orderBy(*SERIES).limit(limit)
+        chosen = chosen.distinct().orderBy(*SERIES).limit(limit)
     return window.join(chosen, SERIES, "left_semi").select(*points.columns)
 
 
+def matching(df: DataFrame, matchers: Iterable[Matcher], name: str | None = None) -> DataFrame:
+    """The rows, samples or series, that match."""
+    kept = df.where(all_of(matchers, df.columns))
+    return kept.where(F.col("name") == name) if name is not None else kept
+
+
 def series_of(points: DataFrame) -> DataFrame:
     """The distinct series: (namespace, name, series_key, tags)."""
     return distinct_rows(points, *SERIES, "tags")
 
 
-def search(points: DataFrame, matchers: Iterable[Matcher] = (),
-           name: str | None = None) -> DataFrame:
-    """Matching series without samples."""
-    kept = points.where(all_of(matchers, points.columns))
-    if name is not None:
-        kept = kept.where(F.col("name") == name)
-    return series_of(kept)
+def search(points: DataFrame, matchers: Iterable[Matcher] = (), name: str | None = None,
+           start: Moment | None = None, end: Moment | None = None) -> DataFrame:
+    """Matching series without samples; with bounds, those that have a sample inside."""
+    window = points if start is None else in_range(points, start, end)
+    return series_of(matching(window, matchers, name))
 
 
 def parse_limit(text: str | None) -> int:

@@ -27,16 +27,19 @@ _BUCKET, _FIRST, _WEIGHT, _TOTAL = "__bucket", "__first", "__weight", "__total"
 
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
                   out: str = "position", weight: str | None = None,
-                  total_out: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                  total_out: str | None = None, hot_rows: int = HOT_ROWS,
+                  count_on: DataFrame | None = None) -> DataFrame:
     """Add ``out``: the weight (rows, by default) before each row of its key in ``order``.
 
     ``bucket`` must never fall while ``order`` rises.  ``total_out`` adds the whole
     weight of the key.  Null keys form one key, as in ``groupBy``.  The counting that
-    picks the plan runs at call time; it brings two numbers to the driver.
+    picks the plan runs at call time; it brings two numbers to the driver.  ``count_on``
+    is a frame to count in place of ``df``, if one with no fewer rows in any key is cheaper.
     """
     rows = df.withColumn(_WEIGHT, F.col(weight).cast("bigint") if weight
                          else F.lit(1).cast("bigint"))
-    largest, n_rows = _largest(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")))
+    counted = (rows if count_on is None else count_on).groupBy(*keys)
+    largest, n_rows = _largest(counted.agg(F.count(F.lit(1)).alias("__rows")))
     if largest <= hot_rows:
         numbered = _number_plain(rows, keys, order, out, total_out)
     else:

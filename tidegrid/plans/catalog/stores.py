@@ -63,17 +63,18 @@ def store_filter(spark, sf_dir):
 
 @query("q52_fanout_search", f"""
 SELECT 'near' AS store, series_key FROM (SELECT DISTINCT series_key FROM {EVENTS}
-                                         WHERE event_type <> 'view')
+  WHERE event_type <> 'view' AND {between('1999-01-01', '2024-01-03')})
 UNION ALL
 SELECT 'near again', series_key FROM (SELECT DISTINCT series_key FROM {EVENTS}
-                                      WHERE event_type <> 'view')
+  WHERE event_type <> 'view' AND {between('1999-01-01', '2024-01-03')})
 UNION ALL
 SELECT 'far', series_key FROM (SELECT DISTINCT series_key FROM {LINES}
-                               WHERE l_returnflag <> 'N')""")
+  WHERE l_returnflag <> 'N' AND {between('1999-01-01', '2024-01-03')})""")
 def fanout_search(spark, sf_dir):
     near, far = two_stores(spark, sf_dir)
     again = op.Store("near again", op.StoreType.LOCAL, near.points)
-    return op.fanout_search([near, again, far], _QUERY, op.allow_all) \
+    question = op.Query(_QUERY.matchers, "1999-01-01", "2024-01-03")
+    return op.fanout_search([near, again, far], question, op.allow_all) \
         .select("store", "series_key")
 
 

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tidegrid.functions.matchers import Matcher
 from tidegrid.functions.times import Moment
 from tidegrid.functions.values import wire_precision
-from tidegrid.operators.fetch import fetch, search
+from tidegrid.operators.fetch import fetch, matching, search
+from tidegrid.sources.points import SERIES
 from tidegrid.sources.wire import WIRE_SERIES, series_to_points
 
 
@@ -36,6 +37,7 @@ class Query:
 class Store:
     """A named points table; ``series`` optionally holds its distinct series.
 
+    ``series``, if given, answers searches and is taken as current for any range.
     ``lossy`` gives values the 32-bit precision of the link between sites.
     ``path`` is where writes to the store go.
     """
@@ -53,8 +55,9 @@ class Store:
 
     def search(self, query: Query) -> DataFrame:
         if self.series is not None:
-            return search(self.series, query.matchers, query.name)
-        return search(self.points, query.matchers, query.name)
+            known = matching(self.series, query.matchers, query.name)
+            return known.select(*SERIES, "tags")
+        return search(self.points, query.matchers, query.name, query.start, query.end)
 
 
 StoreFilter = Callable[[Query | None, Store], bool]
