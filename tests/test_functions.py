@@ -1,4 +1,3 @@
-import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -118,4 +117,3 @@ def test_value_arrays(spark):
 def test_wire_precision(spark):
     row = spark.range(1).select(values.wire_precision(F.lit(185.22)).alias("v")).first()
     assert row["v"] == 185.22000122070312
-    random.seed(1)

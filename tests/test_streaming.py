@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.sources.points import points_from
 from tidegrid.sources.stores import Store, StoreType
+from tidegrid.sources.wire import WRITE_MESSAGE, write_message_points, write_messages
 from tidegrid.streaming import ingest as op
 
 T = datetime(2024, 1, 1)
@@ -77,6 +78,34 @@ def test_windows_close_with_the_watermark(spark, tmp_path):
         ("i=a,", T, 30.0), ("i=a,", T + timedelta(hours=2), 125.0), ("i=b,", T, 10.0)]
 
 
+def test_a_sample_from_far_ahead_closes_nothing(spark, tmp_path):
+    path = str(tmp_path / "in")
+    write_file(spark, path, ("a", 0, 0), ("a", 900, -600), ("a", 20, 0))
+    closed = op.consolidate_stream(point_stream(spark, path), SETTINGS, "sum",
+                                   arrival="arrival_ts")
+    out = str(tmp_path / "out")
+    op.append_stream(closed, out, str(tmp_path / "mark")).awaitTermination()
+    assert spark.read.schema(closed.schema).parquet(out).count() == 0
+
+
+def test_write_messages(spark):
+    points = [(T, 100.0), (T - timedelta(seconds=10), 3.5)]
+    queries = spark.createDataFrame(
+        [({"a": "b", "c": "d"}, points, 2, bytearray("aasjgał".encode()))],
+        "tags map<string,string>, datapoints array<struct<ts:timestamp_ntz,value:double>>, "
+        "unit int, annotation binary")
+    messages = write_messages(queries)
+    assert messages.schema["datapoints"].dataType.elementType.fieldNames() == \
+        spark.createDataFrame([], WRITE_MESSAGE).schema["datapoints"].dataType.elementType \
+        .fieldNames()
+    got = write_message_points(messages).collect()
+    assert sorted((r["ts"], r["value"]) for r in got) == sorted(points)
+    assert {(r["series_key"], r["unit"], bytes(r["annotation"]).decode()) for r in got} == {
+        ("a=b,c=d,", 2, "aasjgał")}
+    again = write_messages(queries).select("datapoints").first()
+    assert again == messages.select("datapoints").first()
+
+
 def test_stream_to_stores(spark, tmp_path):
     path = str(tmp_path / "in")
     write_file(spark, path, ("a", 0, 0), ("b", 1, 0))

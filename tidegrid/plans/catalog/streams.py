@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from tidegrid.plans.catalog.common import EVENTS, bucket
 from tidegrid.plans.catalog.records import write_requests
+from tidegrid.functions.times import tumbling
 from tidegrid.plans.registry import query
 from tidegrid.session import scratch_path
 from tidegrid.sinks.points import read_points
 from tidegrid.sources.points import events_points, points_from, read_table
 from tidegrid.sources.stores import Store, StoreType, allow_all
+from tidegrid.sources.wire import write_messages
 from tidegrid.streaming import ingest as op
 
 SETTINGS = op.NamespaceSettings.of("48h", "2h", "10m", "10m")
@@ -98,6 +100,41 @@ def stream_ingest(spark, sf_dir):
     return read_points(spark, f"{root}/points").select("series_key", "ts", "value")
 
 
+@query("q105_stream_messages", f"""
+SELECT series_key, date_trunc('milliseconds', ts) AS ts, value::FLOAT::DOUBLE AS value, 2 AS unit,
+       event_type AS note
+FROM {EVENTS}""")
+def stream_messages(spark, sf_dir):
+    """Write messages of another site, with unit and annotation, appended to a points table."""
+    root = scratch_path(spark, "messages")
+    points = events_points(spark, sf_dir)
+    queries = points.groupBy("tags", tumbling(F.col("ts"), "24h")).agg(
+        F.collect_list(F.struct("ts", "value")).alias("datapoints")).select(
+        "tags", "datapoints", F.lit(2).alias("unit"),
+        F.encode(F.col("tags")["event_type"], "UTF-8").alias("annotation"))
+    write_messages(queries).write.parquet(f"{root}/in")
+    finished(op.ingest_messages(op.message_stream(spark, f"{root}/in"), f"{root}/points",
+                                f"{root}/checkpoint"))
+    return read_points(spark, f"{root}/points").select(
+        "series_key", "ts", "value", "unit", F.decode("annotation", "UTF-8").alias("note"))
+
+
+@query("q106_stream_admitted_only", f"""
+WITH admitted AS (SELECT series_key, {bucket('1 hour')} AS step_ts, ts, value FROM {EVENTS}
+                  WHERE (props::JSON ->> 'k')::INTEGER <= 10)
+SELECT series_key, step_ts, max(value) AS value FROM admitted
+WHERE step_ts + INTERVAL '1 hour' <= (SELECT max(ts) FROM admitted) - INTERVAL '10 minutes'
+GROUP BY ALL""")
+def stream_admitted_only(spark, sf_dir):
+    """Hourly maxima of the admitted samples of the feed."""
+    root = scratch_path(spark, "admitted")
+    closed = op.consolidate_stream(arriving(event_stream(spark, sf_dir)), HOURLY, "max",
+                                   arrival="arrival_ts")
+    finished(op.append_stream(closed, f"{root}/out", f"{root}/checkpoint"))
+    return spark.read.schema(closed.schema).parquet(f"{root}/out").select(
+        "series_key", "step_ts", "value")
+
+
 @query("q57_stream_admission", _ADMISSION)
 def stream_admission(spark, sf_dir):
     """The feed split into admitted and refused samples, each with its own table."""

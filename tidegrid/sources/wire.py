@@ -16,6 +16,9 @@ SAMPLES = "array<struct<value: double, timestamp: bigint>>"
 # Schemas are given, never inferred.
 WRITE_REQUEST = f"labels {LABELS}, samples {SAMPLES}"
 METRIC_LINE = "metric string, timestamp bigint, tags map<string, string>, value double"
+WRITE_MESSAGE = ("tags map<string, string>, "
+                 "datapoints array<struct<timestamp: bigint, value: float>>, "
+                 "unit int, annotation binary")
 WIRE_SERIES = ("name string, start_time bigint, values array<float>, "
                "tags map<string, string>, specification string, millis_per_step int")
 
@@ -40,6 +43,27 @@ def write_request_points(requests: DataFrame, namespace: str = DEFAULT_NAMESPACE
         F.lit(UNIT_MILLIS).alias("unit"), *extra)
 
 
+def write_message_points(messages: DataFrame, namespace: str = DEFAULT_NAMESPACE) -> DataFrame:
+    """Write messages of the link between sites to points.  Unit and annotation are carried
+    along; values have come through 32 bits."""
+    keyed = messages.withColumn("series_key", key_text(F.col("tags")))
+    return keyed.select("tags", "series_key", "unit", "annotation", F.inline("datapoints")).select(
+        F.lit(namespace).alias("namespace"),
+        F.coalesce(F.col("tags")[NAME_LABEL], F.lit("")).alias("name"),
+        "series_key", "tags", from_millis(F.col("timestamp")).alias("ts"),
+        nan_for_null(F.col("value")).alias("value"), "unit", "annotation")
+
+
+def write_messages(queries: DataFrame) -> DataFrame:
+    """Write queries (tags, datapoints ARRAY<STRUCT<ts, value>>, unit, annotation) to
+    messages of the link."""
+    return queries.select(
+        "tags",
+        F.transform("datapoints", lambda p: F.struct(
+            to_millis(p["ts"]).alias("timestamp"), p["value"].cast("float").alias("value")))
+        .alias("datapoints"), "unit", "annotation")
+
+
 def read_metric_lines(spark: SparkSession, path: str) -> DataFrame:
     """One JSON metric per line.  Blank lines are skipped; a malformed line is fatal."""
     return spark.read.schema(METRIC_LINE).option("mode", "FAILFAST").json(path)

@@ -18,7 +18,8 @@ from tidegrid.operators.fetch import CUTS, cut_date
 from tidegrid.operators.grid import fold
 from tidegrid.sinks.points import layout
 from tidegrid.sources.stores import Store, StoreFilter, filter_stores, local_only
-from tidegrid.sources.wire import WRITE_REQUEST, write_request_points
+from tidegrid.sources.wire import (WRITE_MESSAGE, WRITE_REQUEST, write_message_points,
+                                   write_request_points)
 
 
 @dataclass(frozen=True)
@@ -70,7 +71,12 @@ def expired_dates(points: DataFrame, now: Moment, settings: NamespaceSettings) -
 def request_stream(spark: SparkSession, path: str, fmt: str = "json",
                    max_files: int | None = None) -> DataFrame:
     """Write requests arriving as files in ``path``."""
-    reader = spark.readStream.schema(WRITE_REQUEST)
+    return _files(spark, path, WRITE_REQUEST, fmt, max_files)
+
+
+def _files(spark: SparkSession, path: str, schema: str, fmt: str,
+           max_files: int | None) -> DataFrame:
+    reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.format(fmt).load(path)
@@ -79,8 +85,20 @@ def request_stream(spark: SparkSession, path: str, fmt: str = "json",
 def ingest(requests: DataFrame, path: str, checkpoint: str,
            promote: Sequence[str] = ()) -> StreamingQuery:
     """Append a request stream to a points table, as far as there is input now."""
-    points = layout(write_request_points(requests), promote)
-    return points.writeStream.format("parquet").outputMode("append") \
+    return ingest_points(write_request_points(requests), path, checkpoint, promote)
+
+
+def ingest_messages(messages: DataFrame, path: str, checkpoint: str,
+                    promote: Sequence[str] = ()) -> StreamingQuery:
+    """Append a message stream to a points table, unit and annotation kept."""
+    return ingest_points(write_message_points(messages), path, checkpoint, promote,
+                         keep=["unit", "annotation"])
+
+
+def ingest_points(points: DataFrame, path: str, checkpoint: str, promote: Sequence[str] = (),
+                  keep: Sequence[str] = ()) -> StreamingQuery:
+    """Append a point stream to a points table, as far as there is input now."""
+    return layout(points, promote, keep).writeStream.format("parquet").outputMode("append") \
         .option("path", path).option("checkpointLocation", checkpoint) \
         .partitionBy("block_date").trigger(availableNow=True).start()
 
@@ -121,13 +139,25 @@ def fanout_ingest(points: DataFrame, stores: Sequence[Store], checkpoint: str,
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def message_stream(spark: SparkSession, path: str, fmt: str = "parquet",
+                   max_files: int | None = None) -> DataFrame:
+    """Write messages of the link between sites arriving as files in ``path``."""
+    return _files(spark, path, WRITE_MESSAGE, fmt, max_files)
+
+
 def consolidate_stream(points: DataFrame, settings: NamespaceSettings, fn: str,
-                       by: Sequence[str] = ("name", "series_key")) -> DataFrame:
+                       by: Sequence[str] = ("name", "series_key"),
+                       arrival: str | None = None) -> DataFrame:
     """Windowed consolidation of a point stream, one row per closed window.
 
+    With ``arrival``, only admitted samples take part; without that test a single sample
+    from far ahead moves the watermark and closes every window before it.
+
     ``buffer_past`` is the watermark delay; a window leaves once no admitted sample can
     reach it any more.  Watermarks need an instant, so ``ts`` is read as UTC here.
     """
+    if arrival is not None:
+        points, _ = admit(points, settings, arrival)
     at = points.withColumn("at", F.timestamp_micros(to_micros(F.col("ts"))))
     return at.withWatermark("at", window_text(settings.buffer_past)) \
         .groupBy(*by, tumbling(F.col("at"), settings.block_size).alias("w")) \
