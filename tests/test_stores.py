@@ -98,10 +98,21 @@ def test_selector(spark):
 
 
 def test_resolve_needs_equality(spark):
-    row = fetching.resolve(spark, [eq("t1", "v1")], T, T, "p").first()
+    row = fetching.resolve([eq("t1", "v1")], T, T, "p").frame(spark).first()
     assert row["id"] == "2922638416" and row["series_key"] == "t1=v1,"
     with pytest.raises(ValueError):
-        fetching.resolve(spark, [re_match("t1", "v1")], T, T, "p")
+        fetching.resolve([re_match("t1", "v1")], T, T, "p")
+
+
+def test_resolved_request_is_one_series(spark):
+    made = points(spark, ("m", {"a": "1"}, T, 1.0), ("m", {"a": "1", "b": "2"}, T, 2.0))
+    request = fetching.resolve([eq("a", "1")], T, T + timedelta(hours=1), "p")
+    assert [r["value"] for r in request.fetch(made).collect()] == [1.0]
+    again = fetching.fetch_requests(made, request.frame(spark))
+    assert [r["value"] for r in again.collect()] == [1.0]
+    assert fetching.same_ranges(request.frame(spark), request.frame(spark)).count() == 1
+    other = fetching.resolve([eq("a", "1")], T, T + timedelta(hours=1), "q")
+    assert fetching.same_ranges(request.frame(spark), other.frame(spark)).count() == 0
 
 
 def test_write_request(spark):

@@ -9,8 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.functions.ids import fnv32a, key_text_of
-from tidegrid.functions.matchers import Matcher, all_of, from_wire, to_tags
+from tidegrid.functions.ids import fnv32a
+from tidegrid.functions.matchers import Matcher, MatchType, all_of, from_wire, to_tags
 from tidegrid.functions.times import (Duration, Moment, as_timedelta, from_millis, interval,
                                       moment)
 from tidegrid.sources.points import SERIES, distinct_rows
@@ -141,15 +141,41 @@ class Selector:
         return fetch(points, self.matchers, start, end, name=self.name)
 
 
-def resolve(spark: SparkSession, matchers: Iterable[Matcher], start: Moment, end: Moment,
-            policy: str) -> DataFrame:
-    """The one fetch request an all-equality matcher list stands for:
-    (id, series_key, range_start, range_end, policy)."""
-    key = key_text_of({k: F.lit(v) for k, v in to_tags(matchers).items()})
-    return spark.range(1).select(
-        fnv32a(key).cast("string").alias("id"), key.alias("series_key"),
-        moment(start).alias("range_start"), moment(end).alias("range_end"),
-        F.lit(policy).alias("policy"))
+@dataclass(frozen=True)
+class FetchRequest:
+    """One series by its tags, one range, one storage policy."""
+    tags: dict[str, str]
+    start: Moment
+    end: Moment
+    policy: str
+
+    @property
+    def series_key(self) -> str:
+        ordered = sorted(self.tags.items(), key=lambda tag: tag[0].encode())
+        return "".join(f"{key}={value}," for key, value in ordered)
+
+    def id(self) -> Column:
+        return fnv32a(F.lit(self.series_key)).cast("string")
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """The request as a row: (id, series_key, range_start, range_end, policy)."""
+        return spark.range(1).select(
+            self.id().alias("id"), F.lit(self.series_key).alias("series_key"),
+            moment(self.start).alias("range_start"), moment(self.end).alias("range_end"),
+            F.lit(self.policy).alias("policy"))
+
+    def fetch(self, points: DataFrame) -> DataFrame:
+        """The samples asked for.  The tag tests reach the scan; the key test holds off
+        series that have these tags and more."""
+        tests = [Matcher(MatchType.EQUAL, k, v) for k, v in self.tags.items()]
+        return fetch(points, tests, self.start, self.end) \
+            .where(F.col("series_key") == self.series_key)
+
+
+def resolve(matchers: Iterable[Matcher], start: Moment, end: Moment,
+            policy: str) -> FetchRequest:
+    """The one request that an all-equality matcher list stands for."""
+    return FetchRequest(to_tags(matchers), start, end, policy)
 
 
 def same_ranges(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -89,11 +89,9 @@ SELECT {fnv("'event_type=click,user_id=3,'")}::VARCHAR AS id, '1m:48h' AS policy
        event_id, series_key, ts, value
 FROM {EVENTS} WHERE {between()} AND event_type = 'click' AND user_id = 3""")
 def resolve(spark, sf_dir):
-    request = op.resolve(spark, [eq("user_id", "3"), eq("event_type", "click")], START, END,
-                         "1m:48h")
-    found = op.fetch_requests(events_points(spark, sf_dir), request)
-    return with_series_id(found).select(
-        F.col("series_id").cast("string").alias("id"), "policy", *SAMPLE_COLUMNS)
+    request = op.resolve([eq("user_id", "3"), eq("event_type", "click")], START, END, "1m:48h")
+    return request.fetch(events_points(spark, sf_dir)).select(
+        request.id().alias("id"), F.lit(request.policy).alias("policy"), *SAMPLE_COLUMNS)
 
 
 @query("q70_fetch_ranges", f"""

@@ -38,27 +38,23 @@ def fanout_union(spark, sf_dir):
 
 
 @query("q22_store_filter", f"""
-SELECT 'local_only' AS filter, store_type, count(*) AS n, true AS local_only FROM
-  (SELECT 'local' AS store_type FROM {EVENTS}
-   WHERE event_type <> 'view' AND ts < TIMESTAMP '2024-01-20') GROUP BY ALL
-UNION ALL
-SELECT 'allow_all', store_type, count(*), false FROM
-  (SELECT 'local' AS store_type FROM {EVENTS}
-   WHERE event_type <> 'view' AND ts < TIMESTAMP '2024-01-20'
-   UNION ALL SELECT 'remote' FROM {LINES} WHERE l_returnflag <> 'N') GROUP BY ALL
-UNION ALL SELECT 'allow_none', NULL, 0, true FROM events HAVING count(*) > 0""")
+WITH near AS (SELECT count(*) AS n FROM {EVENTS}
+              WHERE event_type <> 'view' AND ts < TIMESTAMP '2024-01-20'),
+     far AS (SELECT count(*) AS n FROM {LINES} WHERE l_returnflag <> 'N')
+SELECT 'local_only' AS filter, n AS n_local, 0::BIGINT AS n_remote, true AS local_only FROM near
+UNION ALL SELECT 'allow_all', near.n, far.n, false FROM near, far
+UNION ALL SELECT 'allow_none', 0, 0, true FROM near""")
 def store_filter(spark, sf_dir):
     """What each filter lets through, and whether the answer is local only."""
     parts = []
     for accept in (op.local_only, op.allow_all, op.allow_none):
         found = op.fanout_fetch(two_stores(spark, sf_dir), _QUERY, accept)
-        label = F.lit(accept.__name__).alias("filter")
-        counts = found.groupBy("store_type").agg(F.count(F.lit(1)).alias("n"))
-        local = op.only_local(found).select(label, "local_only")
-        parts.append(local.join(counts.select(label, "store_type", "n"), "filter", "left"))
-    union = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return union.select("filter", "store_type", F.coalesce("n", F.lit(0)).alias("n"),
-                        "local_only")
+        parts.append(found.agg(
+            F.lit(accept.__name__).alias("filter"),
+            F.count_if(F.col("store_type") == "local").alias("n_local"),
+            F.count_if(F.col("store_type") == "remote").alias("n_remote"),
+            op.all_local().alias("local_only")))
+    return op.append_pages(parts)
 
 
 @query("q52_fanout_search", f"""

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.functions.matchers import Matcher
@@ -113,10 +113,14 @@ def fanout_search(stores: Sequence[Store], query: Query,
     return _union([_marked(s.search(query), s) for s in chosen])
 
 
+def all_local() -> Column:
+    """Aggregate: true when no other than local stores took part; true for no rows."""
+    return F.coalesce(F.every(F.col("store_type") == "local"), F.lit(True))
+
+
 def only_local(result: DataFrame) -> DataFrame:
-    """One row: true when no other than local stores took part; true for no rows."""
-    return result.agg(F.coalesce(F.every(F.col("store_type") == "local"), F.lit(True))
-                      .alias("local_only"))
+    """One row with :func:`all_local`."""
+    return result.agg(all_local().alias("local_only"))
 
 
 def append_pages(pages: Sequence[DataFrame]) -> DataFrame:
