@@ -54,7 +54,7 @@ def test_refused(pattern):
 
 
 def test_anchors():
-    assert to_java("a|b") == r"\A(?d:a|b)\z"
+    assert to_java("a|b") == r"\A(?du:a|b)\z"
 
 
 def test_text():

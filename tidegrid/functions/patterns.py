@@ -107,5 +107,5 @@ def to_java(pattern: str) -> str:
         previous = "repeat" if repeat and not in_class else piece
     if in_class:
         raise ValueError("missing closing ]")
-    # d: only \n ends a line, as in RE2
-    return rf"\A(?d:{''.join(out)})\z"
+    # d: only \n ends a line; u: case is Unicode's
+    return rf"\A(?du:{''.join(out)})\z"
