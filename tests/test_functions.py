@@ -27,8 +27,9 @@ def test_series_id(spark, tags, expected):
                                                blacklist_characters="\x00")), max_size=20))
 def test_hash_any_text(spark, texts):
     rows = [(t,) for t in texts] or [("",)]
-    got = spark.createDataFrame(rows, "t string").select("t", ids.fnv32a(F.col("t")).alias("h"))
-    assert all(r["h"] == fnv(r["t"]) for r in got.collect())
+    got = spark.createDataFrame(rows, "t string").select(
+        "t", ids.fnv32a(F.col("t")).alias("h"), ids.fnv32a_rows(F.col("t")).alias("r"))
+    assert all(r["h"] == r["r"] == fnv(r["t"]) for r in got.collect())
 
 
 def test_null_tag_is_absent(spark):

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidegrid.functions.ids import tags_to_labels
 from tidegrid.functions.matchers import eq
 from tidegrid.functions.times import to_millis, tumbling
 from tidegrid.operators.fetch import fetch, metrics, search
@@ -20,11 +19,13 @@ from tidegrid.sources.points import events_points, lineitem_points, read_table
 
 def write_requests(spark, sf_dir):
     """Events as write requests: one per series and day."""
-    points = events_points(spark, sf_dir, keep=[])
     sample = F.struct("value", to_millis(F.col("ts")).alias("timestamp"))
-    return points.groupBy("tags", tumbling(F.col("ts"), "24h")).agg(
-        F.collect_list(sample).alias("samples")) \
-        .select(tags_to_labels(F.col("tags")).alias("labels"), "samples")
+    daily = read_table(spark, sf_dir, "events") \
+        .groupBy("event_type", "user_id", tumbling(F.col("ts"), "24h")) \
+        .agg(F.collect_list(sample).alias("samples"))
+    labels = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"))
+                       for c in ("user_id", "event_type")])
+    return daily.select(labels.alias("labels"), "samples")
 
 
 @query("q24_write_explode", f"""

@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.functions.ids import fnv32a
+from tidegrid.functions.ids import fnv32a, fnv32a_rows
 from tidegrid.functions.matchers import tag_column
 from tidegrid.operators.fetch import CUTS, cut_date, series_of
 from tidegrid.sources.stores import Store, StoreFilter, filter_stores, local_only
@@ -60,7 +60,7 @@ def write_untagged(points: DataFrame, path: str, mode: str = "append",
     The id is hashed row by row: a join with ids hashed once per series would move all
     samples across the network, and those of a hot series to one task.
     """
-    points.select("namespace", fnv32a(F.col("series_key")).cast("string").alias("id"), "ts",
+    points.select("namespace", fnv32a_rows(F.col("series_key")).cast("string").alias("id"), "ts",
                   "value", cut_date(F.col("ts"), cut).alias(CUTS[cut])) \
         .hint("rebalance", CUTS[cut]) \
         .write.mode(mode).partitionBy(CUTS[cut]).parquet(path)
