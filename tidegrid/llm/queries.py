@@ -55,3 +55,20 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     printed = written(fingerprints(docs, shingle=3).select("doc_id", "fingerprint"), "simhash")
     return near_groups(printed, max_bits=3).select(
         "doc_id", hex_print().alias("fingerprint"), "component_id")
+
+
+@query("op8_quality_rules")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrid.llm.quality import compression_bands
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return compression_bands(docs).drop("text")
+
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrid.llm.toxicity import toxicity
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(id_rest(5) != 0)
+    return toxicity(docs, labels).select(
+        "doc_id", F.coalesce(id_rest(5) == 0, F.lit(False)).alias("held_out"), "score",
+        "predicted")
