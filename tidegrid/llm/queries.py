@@ -72,3 +72,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(docs, labels).select(
         "doc_id", F.coalesce(id_rest(5) == 0, F.lit(False)).alias("held_out"), "score",
         "predicted")
+
+
+@query("op9_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrid.llm.packing import pack
+    return pack(table(spark, sf_dir, "documents"))
