@@ -114,3 +114,37 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+NOT_SPACE = np.array([b not in SPACE for b in range(256)])
+# An odd multiplier for prefix hashes, and its inverse modulo 2^64.
+STEP = 0x9E3779B97F4A7C15
+_BACK = pow(STEP, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def hashed_runs(texts: list, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every run of bytes marked in ``inside``, and the text that each is in.
+
+    A-Z are lower-cased.  The hash is that of the run alone: the difference of two prefix sums,
+    moved back to position 0.
+    """
+    raw = [(t or "").encode() for t in texts]
+    if not raw:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    ends = np.cumsum([len(r) + 1 for r in raw])
+    data = LOWER[np.frombuffer(b" ".join(raw) + b" ", np.uint8)]
+    marked = np.zeros(len(data) + 1, bool)
+    marked[1:] = inside[data]
+    change = np.flatnonzero(marked[1:] != marked[:-1])
+    starts, stops = change[::2], change[1::2]
+    values = mix64(np.arange(1, 257, dtype=np.uint64))[data] * _powers(STEP, len(data))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+    hashed = (total[stops] - total[starts]) * _powers(_BACK, len(data))[starts]
+    return mix64(hashed), np.searchsorted(ends, starts, "right")

@@ -78,3 +78,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidegrid.llm.packing import pack
     return pack(table(spark, sf_dir, "documents"))
+
+
+@query("op10_ppm")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrid.llm.ppm import ppm_scores
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.coalesce(id_rest(7) == 2, F.lit(False))
+    scored = ppm_scores(docs.withColumn("held_out", held), "NOT held_out")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import chunks, map_texts, mix64
+from tidegrid.llm.common import STEP, chunks, hashed_runs, map_texts, mix64
 
 BITS = 22
 MAX_SAMPLE = 10_000
@@ -26,43 +26,16 @@ POSITIVE_WEIGHT = 2.0
 
 # Word bytes: ASCII digits and letters, and every byte beyond ASCII; others separate words.
 _WORD = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
-_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
-# One odd multiplier for the prefix hashes; a word's hash is that of its bytes alone.
-_STEP = 0x9E3779B97F4A7C15
-_BACK = pow(_STEP, -1, 1 << 64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
-def word_hashes(texts: list) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of every word of every text, and the text each word is in."""
-    raw = [(t or "").encode() for t in texts]
-    ends = np.cumsum([len(r) + 1 for r in raw]) if raw else np.zeros(0, np.int64)
-    data = _LOWER[np.frombuffer(b" ".join(raw) + b" ", np.uint8)] if raw else np.zeros(0, np.uint8)
-    inside = np.zeros(len(data) + 1, bool)
-    inside[1:] = _WORD[data]
-    change = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, stops = change[::2], change[1::2]
-    if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    scaled = mix64(data.astype(np.uint64) + np.uint64(1)) * _powers(_STEP, len(data))
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(scaled, dtype=np.uint64)])
-    hashed = (total[stops] - total[starts]) * _powers(_BACK, len(data))[starts]
-    return mix64(hashed), np.searchsorted(ends, starts, "right")
 
 
 def features(texts: list, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """(feature, text) for every n-gram and skip-gram; repeats are not yet removed."""
-    h, owner = word_hashes(texts)
+    h, owner = hashed_runs(texts, _WORD)
     shift = np.uint64(64 - bits)
     found, where = [h >> shift], [owner]
     for gap in GAPS:
         same = owner[gap:] == owner[:-gap]
-        pair = mix64(h[:-gap] * np.uint64(_STEP) + h[gap:] + np.uint64(gap))
+        pair = mix64(h[:-gap] * np.uint64(STEP) + h[gap:] + np.uint64(gap))
         found.append((pair >> shift)[same])
         where.append(owner[gap:][same])
     return np.concatenate(found).astype(np.int64), np.concatenate(where)
