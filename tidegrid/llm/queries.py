@@ -88,3 +88,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = ppm_scores(docs.withColumn("held_out", held), "NOT held_out")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens",
                          "base_score", "score")
+
+
+@query("op2_sentence_pieces")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrid.llm.sentence_pieces import encoding_facts
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encoding_facts(docs).select(
+        "doc_id", "n_ids", "n_byte_ids", "ids_crc32", F.sha2("decoded", 256)
+        .alias("decoded_sha256"), "round_trip")
