@@ -97,3 +97,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_facts(docs).select(
         "doc_id", "n_ids", "n_byte_ids", "ids_crc32", F.sha2("decoded", 256)
         .alias("decoded_sha256"), "round_trip")
+
+
+@query("op6_language")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrid.llm.language import fit, predict
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = fit(docs, id_rest(4) != 2)
+    return predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(id_rest(4) == 2, F.lit(False)).alias("held_out"), "lang_pred",
+        "score")
