@@ -107,3 +107,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(docs.select("doc_id", "text"), model).select(
         "doc_id", F.coalesce(id_rest(4) == 2, F.lit(False)).alias("held_out"), "lang_pred",
         "score")
+
+
+@query("op3_html_text")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrid.llm.html_text import main_text
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return main_text(pages).select("page_id", "url", "text", "n_chars")
