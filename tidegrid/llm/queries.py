@@ -114,3 +114,22 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidegrid.llm.html_text import main_text
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
+@query("op4_mtree", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_inner_product(CAST(q.x AS DOUBLE[]), CAST(c.x AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  FROM scored) WHERE rank <= 5
+""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrid.llm.mtree import top_k
+    return top_k(table(spark, sf_dir, "embeddings"))
