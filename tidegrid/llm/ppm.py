@@ -32,7 +32,9 @@ CUTOFF = 5e-7
 DISCOUNT = 0.5
 END = 10
 SLICES_PER_SHARD = 4
-MERGE_AT = 3_000_000
+MERGE_AT = 1_500_000
+# Bytes of text worked on at once: a byte takes some hundred bytes of arrays meanwhile.
+TEXT_AT_ONCE = 1_000_000
 
 
 def byte_grams(texts: list, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -61,7 +63,7 @@ def _count_grams(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, held = [], 0
         for batch in batches:
-            for _, _, texts in chunks(batch.column("text")):
+            for _, _, texts in chunks(batch.column("text"), TEXT_AT_ONCE):
                 found.append(np.unique(byte_grams(texts, order)[0], return_counts=True))
                 held += len(found[-1][0])
                 if held > MERGE_AT:
@@ -312,7 +314,7 @@ def ppm_scores(docs: DataFrame, train: str, text: str = "text", order: int = ORD
         held = documents.column("_text").combine_chunks()
         held = held.chunk(0) if isinstance(held, pa.ChunkedArray) else held
         per, every = [], []
-        for _, _, texts in chunks(held):
+        for _, _, texts in chunks(held, TEXT_AT_ONCE):
             found, owner = byte_grams(texts, order)
             bits = np.bincount(owner, trie.log10(found), len(texts))
             hashes, where = hashed_runs(texts, NOT_SPACE)
