@@ -114,13 +114,13 @@ def test_aggregators_and_nan(spark):
 
 
 @pytest.mark.parametrize("q", [0, 0.1, 0.25, 0.5, 0.9, 1])
-@pytest.mark.parametrize("hot_rows", [10_000, 30, 1])
-def test_quantile(spark, q, hot_rows):
+@pytest.mark.parametrize("slices", [None, 9])
+def test_quantile(spark, q, slices):
     import numpy as np
     numbers = [(i * 37 % 101) / 7 - 5 for i in range(120)] + [2.5] * 80 + [-1e9, 1e9, 0.0, 1e-12]
     v = vec(spark, *[({"a": "x", "i": str(i)}, 0, n) for i, n in enumerate(numbers)],
             ({"i": "alone"}, 0, 4))
-    got = {r["a"]: r["value"] for r in agg.quantile(v, q, by=["a"], hot_rows=hot_rows).collect()}
+    got = {r["a"]: r["value"] for r in agg.quantile(v, q, by=["a"], slices=slices).collect()}
     assert got["x"] == pytest.approx(np.quantile(numbers, q), rel=1e-12, abs=1e-12)
     assert got[None] == 4.0
 
@@ -138,7 +138,7 @@ def test_hot_group_quantile_matches_brute_force(spark):
     v = vec(spark, *[({"a": "hot" if i % 3 else "cold", "i": str(i)}, i % 2, x)
                      for i, x in enumerate(values)])
     import numpy as np
-    got = agg.quantile(v, 0.3, by=["a"], hot_rows=50).collect()
+    got = agg.quantile(v, 0.3, by=["a"], slices=4).collect()
     assert len(got) == 4
     for r in got:
         step = (r["step_ts"] - T) // timedelta(minutes=1)
@@ -186,7 +186,7 @@ def test_unsorted_write_regrids_in_time_order(spark):
 
 def test_nested_parts(spark):
     v = vec(spark, *[({"a": "1", "b": "2"}, i, i) for i in range(7)])
-    nested = nest_series(grid.regrid(v, T, "1s", hot_rows=2, block="2m"), part_samples=3).collect()
+    nested = nest_series(grid.regrid(v, T, "1s", block="2m"), part_samples=3).collect()
     assert [len(r["samples"]) for r in sorted(nested, key=lambda r: r["part"])] == [3, 3, 1]
     assert [(l["name"], l["value"]) for l in nested[0]["labels"]] == [("a", "1"), ("b", "2")]
     stamps = [s["timestamp"] for r in sorted(nested, key=lambda r: r["part"])
@@ -194,12 +194,12 @@ def test_nested_parts(spark):
     assert stamps == [1704067200000 + 1000 * i for i in range(7)]
 
 
-@pytest.mark.parametrize("hot_rows", [100, 4])
-def test_batches_flush_the_rest(spark, hot_rows):
+@pytest.mark.parametrize("slices", [None, 4])
+def test_batches_flush_the_rest(spark, slices):
     requests = spark.range(11).selectExpr(
         "id", "array(struct('i' as name, cast(id as string) as value)) labels",
         "array(struct(cast(id as double) as value, id as timestamp)) samples").repartition(3)
-    made = batches(requests, 4, ["id"], F.floor(F.col("id") / 2), hot_rows=hot_rows).collect()
+    made = batches(requests, 4, ["id"], F.floor(F.col("id") / 2), slices=slices).collect()
     made.sort(key=lambda r: r["batch_id"])
     assert [r["n_series"] for r in made] == [4, 4, 3]
     assert [int(t["labels"][0]["value"]) for r in made for t in r["timeseries"]] == list(range(11))

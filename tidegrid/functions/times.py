@@ -46,6 +46,14 @@ def micros_of(duration: Duration) -> int:
     return as_timedelta(duration) // timedelta(microseconds=1)
 
 
+def whole_millis(step: Duration) -> int:
+    """A step as milliseconds; one below or between whole milliseconds is refused."""
+    micros = micros_of(step)
+    if micros % 1000 or micros <= 0:
+        raise ValueError(f"steps are whole milliseconds, not {step}")
+    return micros // 1000
+
+
 def step_millis(resolution: Duration) -> int:
     """A resolution as whole milliseconds, truncated."""
     micros = micros_of(resolution)
@@ -99,14 +107,27 @@ def whole_steps(length: Column, step: Duration) -> Column:
 
 def step_index(ts: Column, start: Moment, step: Duration) -> Column:
     """Which step of the grid ``start, start+step, ..`` holds ``ts`` (``ts >= start``)."""
+    whole_millis(step)
     return whole_steps(ts - moment(start), step)
 
 
 def step_time(index: Column, start: Moment, step: Duration) -> Column:
     """Time of step ``index``; steps are whole milliseconds."""
-    return F.timestamp_add("MILLISECOND", index * F.lit(step_millis(step)), moment(start))
+    return F.timestamp_add("MILLISECOND", index * F.lit(whole_millis(step)), moment(start))
 
 
 def tumbling(ts: Column, size: Duration) -> Column:
-    """Epoch-aligned window struct (start, end)."""
+    """Epoch-aligned window struct (start, end), both null for a null time.
+
+    Arithmetic, as ``F.window`` drops rows without a time; streams use that one, for its
+    watermark (:func:`stream_window`).
+    """
+    width = F.lit(micros_of(size))
+    into = F.pmod(to_micros(ts), width)
+    return F.struct(F.timestamp_add("MICROSECOND", -into, ts).alias("start"),
+                    F.timestamp_add("MICROSECOND", width - into, ts).alias("end"))
+
+
+def stream_window(ts: Column, size: Duration) -> Column:
+    """The same window in a form that a watermark can close; a null time has none."""
     return F.window(ts, window_text(size))

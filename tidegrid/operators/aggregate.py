@@ -11,7 +11,7 @@ from tidegrid.functions.ids import key_text
 from tidegrid.functions.matchers import tag_column
 from tidegrid.functions.times import Duration, tumbling
 from tidegrid.functions.values import nan_for_null
-from tidegrid.operators.position import HOT_ROWS, with_position
+from tidegrid.operators.position import with_position
 
 # How many ways a group is sliced for a top-k too long to be cut ahead of the shuffle.
 SLICES = 1024
@@ -126,7 +126,7 @@ def _magnitude(value: Column) -> Column:
 
 
 def quantile(points: DataFrame, q: float, by: Sequence[str] | None = None,
-             without: Sequence[str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+             without: Sequence[str] | None = None, slices: int | None = None) -> DataFrame:
     """The exact ``q`` quantile with linear interpolation, per group and step.
 
     Equal values are counted before the shuffle and the counts are ranked in buckets, so
@@ -142,8 +142,7 @@ def quantile(points: DataFrame, q: float, by: Sequence[str] | None = None,
     counted = grouped.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
     counted = counted.withColumn("real", ~F.isnan("value"))
     placed = with_position(counted, keys, ["real", "value"], _magnitude(F.col("value")),
-                           out="before", weight="n", total_out="size", hot_rows=hot_rows,
-                           count_on=grouped)
+                           out="before", weight="n", total_out="size", slices=slices)
     rank = F.lit(float(q)) * (F.col("size") - 1)
 
     def covers(at: Column) -> Column:

@@ -11,17 +11,18 @@ from tidegrid.functions.times import (Duration, Moment, interval, micros_of, mom
                                       step_index, step_millis, step_time, tumbling)
 from tidegrid.functions.values import nan_for_null
 from tidegrid.operators.fetch import in_range
-from tidegrid.operators.position import HOT_ROWS, with_position
+from tidegrid.operators.position import with_position
 from tidegrid.sources.points import SERIES, distinct_rows
 
 
 def regrid(points: DataFrame, start: Moment, step: Duration, tie: Sequence[str] = (),
            block: Duration = "24h", keys: Sequence[str] = SERIES,
-           hot_rows: int = HOT_ROWS) -> DataFrame:
+           slices: int | None = None) -> DataFrame:
     """The i-th sample of a series becomes step i, at ``start + i * step``; sample times
-    are replaced.  ``tie`` orders samples of equal time."""
+    are replaced.  ``tie`` orders samples of equal time, their other columns those equal in it
+    too.  A series is numbered block by block; ``slices`` is for blocks too long for a task."""
     placed = with_position(points, keys, ["ts", *tie], tumbling(F.col("ts"), block).start,
-                           out="step_idx", hot_rows=hot_rows)
+                           out="step_idx", slices=slices)
     return placed.withColumn("step_ts", step_time(F.col("step_idx"), start, step))
 
 
@@ -35,7 +36,8 @@ def fold(fn: str, value: Column, ts: Column) -> Column:
         "count": lambda: F.count(value).cast("double"),
         "min": lambda: nan_for_null(F.min(present)),
         "max": lambda: nan_for_null(F.max(present)),
-        "last": lambda: F.max_by(value, ts),
+        # of samples at the same time the largest value, NaN above all, whatever comes first
+        "last": lambda: F.max_by(value, F.struct(ts, value)),
     }
     if fn not in folds:
         raise ValueError(f"unknown fold {fn!r}, expecting one of {', '.join(sorted(folds))}")

@@ -1,11 +1,13 @@
 """Running position of rows inside a key, without one task per long key.
 
-``row_number`` over a key is a single task.  That is right as long as no key is long, so
-the keys are counted first.  A long key is cut by an order-preserving bucket: rows are
-counted per (key, bucket), the counts are summed up along the buckets (one row per
-bucket), and each (key, bucket) is numbered on its own, starting from the sum before it.
-Where even one bucket is too large, slices of the whole order, balanced by Spark's range
-partitioner, take the place of the buckets.
+``row_number`` over a key is a single task.  So keys are cut by an order-preserving bucket:
+rows are counted per (key, bucket), the counts are summed up along the buckets (one row per
+bucket), and each (key, bucket) is numbered on its own, starting from the sum before it.  This
+is one lazy plan, the same for tables of every size.
+
+Where single buckets are known to be very long, a caller asks for ``slices``: pieces of the
+whole order, balanced by Spark's range partitioner, take the place of the buckets.  Both number
+rows by one full order, so both give the same positions.
 """
 
 from __future__ import annotations
@@ -17,8 +19,6 @@ from pyspark.sql import functions as F
 
 from tidegrid.session import durable
 
-# No task sorts more rows of one key than this.
-HOT_ROWS = 4_000_000
 # Copies of one row are spread out again in runs of this length.
 COPY_RUN = 1_000_000
 
@@ -27,48 +27,40 @@ _BUCKET, _FIRST, _WEIGHT, _TOTAL = "__bucket", "__first", "__weight", "__total"
 
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
                   out: str = "position", weight: str | None = None,
-                  total_out: str | None = None, hot_rows: int = HOT_ROWS,
-                  count_on: DataFrame | None = None) -> DataFrame:
+                  total_out: str | None = None, slices: int | None = None) -> DataFrame:
     """Add ``out``: the weight (rows, by default) before each row of its key in ``order``.
 
-    ``bucket`` must never fall while ``order`` rises.  ``total_out`` adds the whole
-    weight of the key.  Null keys form one key, as in ``groupBy``.  The counting that
-    picks the plan runs at call time; it brings two numbers to the driver.  ``count_on``
-    is a frame to count in place of ``df``, if one with no fewer rows in any key is cheaper.
+    ``bucket`` must never fall while ``order`` rises, and be null where the first order column
+    is.  Rows that ``order`` leaves equal follow by their other columns (maps apart); rows equal
+    in these too are copies of each other.  ``total_out`` adds the whole weight of the key.
+    Null keys form one key, as in ``groupBy``.  Nothing runs at call time, unless ``slices``
+    asks for that many balanced slices, which are written once.
     """
     rows = df.withColumn(_WEIGHT, F.col(weight).cast("bigint") if weight
                          else F.lit(1).cast("bigint"))
-    counted = (rows if count_on is None else count_on).groupBy(*keys)
-    largest, n_rows = _largest(counted.agg(F.count(F.lit(1)).alias("__rows")))
-    if largest <= hot_rows:
-        numbered = _number_plain(rows, keys, order, out, total_out)
+    if slices:
+        numbered = _number_sliced(rows, keys, order, out, total_out, slices)
     else:
         cut = rows.withColumn(_BUCKET, bucket)
-        totals = durable(_totals(cut, keys))
-        if _largest(totals)[0] <= hot_rows:
-            numbered = _number(cut, totals, keys, order, out, total_out)
-        else:
-            numbered = _number_sliced(rows, keys, order, out, total_out, n_rows)
+        numbered = _number(cut, _totals(cut, keys), keys, _full(rows, keys, order), out, total_out)
     return numbered.select(*df.columns, out, *([total_out] if total_out else []))
 
 
-def _largest(counts: DataFrame) -> tuple[int, int]:
-    """The largest count, and all together."""
-    most, together = counts.agg(F.max("__rows"), F.sum("__rows")).first()
-    return most or 0, together or 0
+def _full(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list[str]:
+    """The order, ended by all columns that can be ordered: rows that are equal in ``order``
+    part ways by what they hold, not by when they came."""
+    return [*order, *[f.name for f in rows.schema.fields
+                      if f.name not in {*keys, *order, _WEIGHT, "__copies", _BUCKET}
+                      and _orderable(f.dataType)]]
 
 
-def _totals(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return rows.groupBy(*keys, _BUCKET).agg(
-        F.sum(_WEIGHT).alias(_TOTAL), F.count(F.lit(1)).alias("__rows"))
+def _orderable(kind) -> bool:
+    return not any(x in kind.simpleString() for x in ("map<", "variant"))
 
 
-def _number_plain(rows: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
-                  total_out: str | None) -> DataFrame:
-    key = Window.partitionBy(*keys)
-    before = key.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    numbered = rows.withColumn(out, F.coalesce(F.sum(_WEIGHT).over(before), F.lit(0)))
-    return numbered.withColumn(total_out, F.sum(_WEIGHT).over(key)) if total_out else numbered
+def _totals(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.groupBy(*keys, _BUCKET).agg(
+        F.sum(_WEIGHT).alias(_TOTAL))
 
 
 def _number(rows: DataFrame, totals: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -93,16 +85,10 @@ def _number(rows: DataFrame, totals: DataFrame, keys: Sequence[str], order: Sequ
 
 
 def _number_sliced(rows: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
-                   total_out: str | None, n_rows: int) -> DataFrame:
-    slices = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                 -(-n_rows // HOT_ROWS))
+                   total_out: str | None, slices: int) -> DataFrame:
     # equal rows cannot be told apart by any order, so they travel as one row and a count
     packed = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("__copies"))
-    # the payload ends the order: rows with equal order columns can part ways too
-    rest = [f.name for f in packed.schema.fields
-            if f.name not in {*keys, *order, _WEIGHT, "__copies"}
-            and f.dataType.typeName() not in ("map", "variant")]
-    full = [*order, *rest]
+    full = _full(packed, keys, order)
     sliced = durable(packed.repartitionByRange(slices, *keys, *full)
                      .withColumn(_BUCKET, F.spark_partition_id())
                      .withColumn("__each", F.col(_WEIGHT))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions.values import NAN
 from tidegrid.operators import aggregate as op
-from tidegrid.operators.fetch import fetch
+from tidegrid.operators.fetch import fetch, matching
 from tidegrid.operators.grid import consolidate
 from tidegrid.operators.vector import vector
 from tidegrid.plans import compose
@@ -25,7 +25,7 @@ EVENT_TAGS = ["event_type", "user_id"]
 
 def hourly(spark, sf_dir, matchers=()):
     """The tags are grouped on as columns; map and key text are made of them afterwards."""
-    points = fetch(events_points(spark, sf_dir), matchers, FIRST, LAST)
+    points = matching(events_points(spark, sf_dir), matchers)
     tagged = points.select("*", *op.tag_columns(points, EVENT_TAGS))
     summed = consolidate(tagged, {"default": "1h"}, "sum", by=EVENT_TAGS)
     return vector(summed, EVENT_TAGS, name="events").withColumn("value", F.round("value", 6))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from tidegrid.functions.times import tumbling
 from tidegrid.functions.values import NAN
 from tidegrid.operators import grid as op
-from tidegrid.operators.fetch import in_range
-from tidegrid.plans.catalog.common import END, EVENTS, FIRST, LAST, LINES, START, between, bucket
+from tidegrid.operators.aggregate import at_steps
+from tidegrid.plans.catalog.common import EVENTS, FIRST, LAST, LINES, START, between, bucket
 from tidegrid.plans.registry import query
 from tidegrid.sources.points import events_points, lineitem_points
 
@@ -17,10 +17,9 @@ from tidegrid.sources.points import events_points, lineitem_points
 SELECT event_id, series_key, step_idx,
        TIMESTAMP '2024-01-05' + to_minutes(step_idx::INTEGER) AS step_ts, value
 FROM (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY ts, event_id) - 1 AS step_idx
-      FROM {EVENTS} WHERE {between()})""")
+      FROM {EVENTS})""")
 def regrid(spark, sf_dir):
-    return op.regrid(in_range(events_points(spark, sf_dir), START, END), START, "1m",
-                     tie=["event_id"]) \
+    return op.regrid(events_points(spark, sf_dir), START, "1m", tie=["event_id"]) \
         .select("event_id", "series_key", "step_idx", "step_ts", "value")
 
 
@@ -48,17 +47,41 @@ def regrid_lineitem(spark, sf_dir):
     return _lines_regridded(spark, sf_dir)
 
 
+@query("q107_regrid_no_tie", f"""
+SELECT l_orderkey, l_linenumber, series_key, value, step_idx
+FROM (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY ts, value, l_orderkey,
+             l_linenumber, l_partkey) - 1 AS step_idx FROM {LINES})""")
+def regrid_no_tie(spark, sf_dir):
+    """No tie given: samples of one day follow by all that they hold."""
+    points = lineitem_points(spark, sf_dir, keep=["l_orderkey", "l_linenumber", "l_partkey"])
+    return op.regrid(points, "1995-01-01", "10s", block="8760h").select(
+        "l_orderkey", "l_linenumber", "series_key", "value", "step_idx")
+
+
+@query("q108_null_times", f"""
+SELECT step_ts, count(*) AS n, count(DISTINCT series_key) AS n_series
+FROM (SELECT series_key, {bucket('1 hour', 't0')} AS step_ts
+      FROM (SELECT *, CASE WHEN event_id % 7 <> 0 THEN ts END AS t0 FROM {EVENTS}))
+GROUP BY ALL""")
+def null_times(spark, sf_dir):
+    """A sample without a time is in a step of its own, the one of no time: none is lost."""
+    points = events_points(spark, sf_dir).withColumn(
+        "ts", F.when(F.col("event_id") % 7 != 0, F.col("ts")))
+    return at_steps(points, "1h").groupBy("step_ts").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("series_key").alias("n_series"))
+
+
 @query("q103_regrid_cut", _positional_sql("ts, event_id", FIRST, 60, EVENTS, "event_id"))
 def regrid_cut(spark, sf_dir):
-    """The plan for long series: numbered block by block."""
-    return op.regrid(events_points(spark, sf_dir), FIRST, "1m", tie=["event_id"], hot_rows=12) \
+    """Numbered in short blocks: the same positions as in long ones."""
+    return op.regrid(events_points(spark, sf_dir), FIRST, "1m", tie=["event_id"], block="1h") \
         .select("event_id", "series_key", "step_idx", "step_ts", "value")
 
 
 @query("q104_regrid_sliced", _LINE_SQL)
 def regrid_sliced(spark, sf_dir):
     """The plan for series that are long even inside one block: balanced slices."""
-    return _lines_regridded(spark, sf_dir, hot_rows=10)
+    return _lines_regridded(spark, sf_dir, slices=16)
 
 
 # the events at ten minutes, and their hourly sums as a second namespace
@@ -88,7 +111,7 @@ SELECT series_key, step_ts, round(value, 6) AS value FROM (
 
 for _fn, _sql in {"sum": "sum(value)", "avg": "avg(value)", "min": "min(value)",
                   "max": "max(value)", "count": "count(value)::DOUBLE",
-                  "last": "arg_max(value, ts)"}.items():
+                  "last": "arg_max(value, (ts, value))"}.items():
     _register_fold(_fn, _sql)
 
 
@@ -106,7 +129,7 @@ def custom_fold(spark, sf_dir):
 
 
 _GRID = f"""
-WITH cells AS (SELECT series_key, {bucket('1 day')} AS step_ts, arg_max(value, ts) AS value
+WITH cells AS (SELECT series_key, {bucket('1 day')} AS step_ts, arg_max(value, (ts, value)) AS value
                FROM {EVENTS} WHERE {between(FIRST, LAST)} GROUP BY ALL),
      days AS (SELECT i AS step_idx, TIMESTAMP '2024-01-01' + to_days(i::INTEGER) AS step_ts
               FROM range(0, 30) t(i)),
@@ -137,8 +160,11 @@ def all_nan(spark, sf_dir):
 
 
 @query("q78_all_nan_total", """
-SELECT false AS all_nan, false AS all_nan_positive, true AS all_nan_masked, true AS all_nan_empty
-FROM events HAVING count(*) > 0""")
+SELECT bool_and(isnan(value)) AS all_nan,
+       coalesce(bool_and(isnan(value)) FILTER (value > 0), true) AS all_nan_positive,
+       bool_and(isnan(CASE WHEN value >= 0 THEN 'NaN'::DOUBLE ELSE value END)) AS all_nan_masked,
+       coalesce(bool_and(isnan(value)) FILTER (value < 0), true) AS all_nan_empty
+FROM events""")
 def all_nan_total(spark, sf_dir):
     points = events_points(spark, sf_dir)
     masked = points.withColumn("value", F.when(F.col("value") >= 0, F.lit(NAN))

@@ -41,7 +41,7 @@ def unicode_ids(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     tags = F.create_map(F.lit("text"), F.col("text"), F.lit("source"), F.col("source"),
                         F.lit("lang"), F.col("lang"))
-    return docs.select("doc_id", ids.series_id(tags).alias("id"))
+    return docs.select("doc_id", ids.fnv32a_rows(ids.key_text(tags)).cast("string").alias("id"))
 
 
 @query("q60_labels", """

@@ -95,7 +95,7 @@ def remote_pages(spark, sf_dir):
 
 @query("q91_link_round_trip", f"""
 WITH cells AS (SELECT series_key, time_bucket(INTERVAL '1 day', ts, TIMESTAMP '1970-01-01') AS ts,
-                      arg_max(value, ts) AS value
+                      arg_max(value, (ts, value)) AS value
                FROM {EVENTS} WHERE {between()} GROUP BY ALL),
      grid AS (SELECT series_key, day AS ts FROM (SELECT DISTINCT series_key FROM cells)
               CROSS JOIN (SELECT TIMESTAMP '{START}' + to_days(i::INTEGER) AS day

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,16 +68,12 @@ def write_untagged(points: DataFrame, path: str, mode: str = "append",
 def fanout_write(points: DataFrame, stores: Sequence[Store],
                  accept: StoreFilter = local_only, promote: Sequence[str] = ()) -> list[str]:
     """The same write to every accepted store, in order.  The first failure is raised;
-    what was written before it stays.  Returns the labels written."""
+    what was written before it stays.  Returns the labels written.
+
+    The points are computed once for each store: hand over a stored table where that is dear."""
     if points is None:
         raise ValueError("nothing to write: no points given")
     chosen = filter_stores(stores, accept)
-    if len(chosen) > 1:
-        points = points.persist(StorageLevel.DISK_ONLY)
-    try:
-        for store in chosen:
-            write_points(points, store.path, promote)
-    finally:
-        if len(chosen) > 1:
-            points.unpersist()
+    for store in chosen:
+        write_points(points, store.path, promote)
     return [s.label for s in chosen]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidegrid.functions.ids import tags_to_labels
 from tidegrid.functions.times import Duration, to_millis, tumbling
 from tidegrid.operators.grid import regrid
-from tidegrid.operators.position import HOT_ROWS, with_position
+from tidegrid.operators.position import with_position
 from tidegrid.sources.points import SERIES
 
 PART_SAMPLES = 10_000
@@ -35,19 +35,19 @@ def nest_series(grid: DataFrame, keys: Sequence[str] = SERIES,
 
 
 def nest_result(points: DataFrame, start, step: Duration, tie: Sequence[str] = (),
-                part_samples: int = PART_SAMPLES, hot_rows: int = HOT_ROWS) -> DataFrame:
+                part_samples: int = PART_SAMPLES, slices: int | None = None) -> DataFrame:
     """A fetch result as nested records; sample i is stamped ``start + i * step``."""
-    return nest_series(regrid(points, start, step, tie, hot_rows=hot_rows),
+    return nest_series(regrid(points, start, step, tie, slices=slices),
                        part_samples=part_samples)
 
 
 def batches(requests: DataFrame, size: int, order: Sequence[str], bucket: Column,
-            hot_rows: int = HOT_ROWS) -> DataFrame:
+            slices: int | None = None) -> DataFrame:
     """Write requests in groups of ``size`` by ``order``, the rest last: (batch_id,
     n_series, timeseries).  ``bucket`` must not fall while ``order`` rises."""
     if size < 1:
         raise ValueError("batch size must be positive")
-    placed = with_position(requests, [], order, bucket, out="place", hot_rows=hot_rows)
+    placed = with_position(requests, [], order, bucket, out="place", slices=slices)
     batch = F.call_function("div", F.col("place"), F.lit(size)).alias("batch_id")
     series = F.struct("place", "labels", "samples")
     return placed.groupBy(batch).agg(F.array_sort(F.collect_list(series)).alias("ts")) \

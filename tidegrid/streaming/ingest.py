@@ -7,13 +7,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegrid.functions.times import (Duration, Moment, as_timedelta, epoch, interval, moment,
-                                      to_micros, tumbling, window_text)
+                                      stream_window, to_micros, window_text)
 from tidegrid.operators.fetch import CUTS, cut_date
 from tidegrid.operators.grid import fold
 from tidegrid.sinks.points import layout
@@ -95,12 +94,17 @@ def ingest_messages(messages: DataFrame, path: str, checkpoint: str,
                          keep=["unit", "annotation"])
 
 
+# As far as there is input now; {"processingTime": "10 seconds"} goes on for ever.
+ALL_THERE_IS = {"availableNow": True}
+
+
 def ingest_points(points: DataFrame, path: str, checkpoint: str, promote: Sequence[str] = (),
-                  keep: Sequence[str] = ()) -> StreamingQuery:
-    """Append a point stream to a points table, as far as there is input now."""
+                  keep: Sequence[str] = (), trigger: dict = ALL_THERE_IS) -> StreamingQuery:
+    """Append a point stream to a points table, as far as there is input now, or as
+    ``trigger`` says."""
     return layout(points, promote, keep).writeStream.format("parquet").outputMode("append") \
         .option("path", path).option("checkpointLocation", checkpoint) \
-        .partitionBy("block_date").trigger(availableNow=True).start()
+        .partitionBy("block_date").trigger(**trigger).start()
 
 
 def ingest_admitted(points: DataFrame, settings: NamespaceSettings, accepted: str, refused: str,
@@ -111,12 +115,9 @@ def ingest_admitted(points: DataFrame, settings: NamespaceSettings, accepted: st
     after a failure leaves no sample twice.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist(StorageLevel.DISK_ONLY)
-        try:
-            for part, path in zip(admit(kept, settings, arrival), (accepted, refused)):
-                part.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        finally:
-            kept.unpersist()
+        # a batch is a fixed set of offsets: it is read again for the second table
+        for part, path in zip(admit(batch, settings, arrival), (accepted, refused)):
+            part.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return points.writeStream.foreachBatch(write) \
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -128,12 +129,8 @@ def fanout_ingest(points: DataFrame, stores: Sequence[Store], checkpoint: str,
     chosen = filter_stores(stores, accept)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist(StorageLevel.DISK_ONLY)
-        try:
-            for store in chosen:
-                kept.write.mode("overwrite").parquet(f"{store.path}/batch_id={batch_id}")
-        finally:
-            kept.unpersist()
+        for store in chosen:
+            batch.write.mode("overwrite").parquet(f"{store.path}/batch_id={batch_id}")
 
     return points.writeStream.foreachBatch(write) \
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -160,7 +157,7 @@ def consolidate_stream(points: DataFrame, settings: NamespaceSettings, fn: str,
         points, _ = admit(points, settings, arrival)
     at = points.withColumn("at", F.timestamp_micros(to_micros(F.col("ts"))))
     return at.withWatermark("at", window_text(settings.buffer_past)) \
-        .groupBy(*by, tumbling(F.col("at"), settings.block_size).alias("w")) \
+        .groupBy(*by, stream_window(F.col("at"), settings.block_size).alias("w")) \
         .agg(fold(fn, F.col("value"), F.col("at")).alias("value")) \
         .select(*by, F.timestamp_add("MICROSECOND", F.unix_micros("w.start"), epoch())
                 .alias("step_ts"), "value")
