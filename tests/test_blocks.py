@@ -40,8 +40,11 @@ def test_two_namespaces(spark):
 def test_misaligned(spark):
     bad = frame(spark, block("test_one", 0, end=100), *two()[1:])
     assert [r["block_idx"] for r in op.misaligned_blocks(bad).collect()] == [0]
-    with pytest.raises(op.BlocksMisaligned):
-        op.by_time(bad, strict=True)
+    with pytest.raises(Exception, match=op.MISALIGNED):
+        op.by_time(bad).count()
+    with pytest.raises(Exception, match=op.MISALIGNED):
+        op.by_time(bad).select("series_key").collect()
+    assert op.by_time(bad, strict=False).count() == 4
 
 
 def test_later_series_longer(spark):
@@ -54,8 +57,12 @@ def test_later_series_longer(spark):
 
 def test_namespace_misaligned(spark):
     bad = frame(spark, *two("a"), block("test_one", 0, "b", start=5), block("test_one", 1, "b"))
-    with pytest.raises(op.BlocksMisaligned):
-        op.merge_namespaces(bad, strict=True)
+    with pytest.raises(Exception, match=op.MISALIGNED):
+        op.merge_namespaces(bad).count()
+    with pytest.raises(Exception, match=op.MISALIGNED):
+        op.merge_namespaces(bad).select("series_key").collect()
+    lenient = op.merge_namespaces(bad, strict=False).where("misaligned").collect()
+    assert [(r["series_key"], r["block_idx"]) for r in lenient] == [("test_one", 0)]
 
 
 def test_common_tags(spark):

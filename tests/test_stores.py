@@ -67,8 +67,8 @@ def test_names_keep_series_apart(spark):
 
 
 def test_limits():
-    assert [fetching.parse_limit(t) for t in ("100", "90", None, "", "x", "1.5")] == \
-        [100, 90, 1000, 1000, 1000, 1000]
+    assert [fetching.parse_limit(t) for t in ("100", "90", None, "", "x", "1.5", " 5 ", "\u0663", "-5", "+7")] == \
+        [100, 90, 1000, 1000, 1000, 1000, 1000, 1000, -5, 7]
 
 
 def test_search_result(spark):
@@ -194,3 +194,31 @@ def test_first_failed_write_is_raised(spark, tmp_path):
     with pytest.raises(Exception, match="broken"):
         fanout_write(bad, made)
     assert not list((tmp_path).glob("b/*.parquet"))
+
+
+def test_no_stores_at_all(spark):
+    assert op.fanout_fetch([], QUERY).count() == 0
+    assert op.fanout_search([], QUERY).count() == 0
+
+
+def test_ids_of_one_namespace(spark):
+    both = small(spark).unionByName(small(spark).withColumn("namespace", F.lit("other")))
+    key = both.first()["series_key"]
+    every = fetching.fetch_ids(both, [key], "1970-01-01", "2100-01-01").count()
+    one = fetching.fetch_ids(both, [key], "1970-01-01", "2100-01-01", namespace="other").count()
+    assert every == 2 * one > 0
+
+
+def test_requests_and_queries_prune_a_cut_table(spark, tmp_path):
+    made = points(spark, *[("m", {"a": str(i)}, T + timedelta(days=i), float(i)) for i in range(9)])
+    made.withColumn("block_date", F.to_date("ts")).write.partitionBy("block_date") \
+        .parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    many = fetching.fetch_many(stored, [("q", [], T, T + timedelta(days=2)),
+                                        ("r", [], T + timedelta(days=1), T + timedelta(days=3))])
+    assert sorted((r["query"], r["value"]) for r in many.collect()) == [
+        ("q", 0.0), ("q", 1.0), ("r", 1.0), ("r", 2.0)]
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(block_date" in plan
+    wanted = fetching.resolve([eq("a", "4")], T, T + timedelta(days=9), "p").frame(spark)
+    assert [r["value"] for r in fetching.fetch_requests(stored, wanted).collect()] == [4.0]

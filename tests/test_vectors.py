@@ -205,3 +205,23 @@ def test_batches_flush_the_rest(spark, slices):
     assert [int(t["labels"][0]["value"]) for r in made for t in r["timeseries"]] == list(range(11))
     with pytest.raises(ValueError):
         batches(requests, 0, ["id"], F.col("id"))
+
+
+def test_duplicate_match_fails_without_its_value(spark):
+    left = vec(spark, ({"a": "1", "b": "1"}, 0, 1), ({"a": "1", "b": "2"}, 0, 2))
+    right = vec(spark, ({"a": "1"}, 0, 3))
+    for make in (lambda: op.one_to_one(left, right, "+", on=["a"]).count(),
+                 lambda: op.one_to_one(left, right, "+", on=["a"]).select("series_key").collect(),
+                 lambda: op.group_left(right, left, "+", on=["a"]).count()):
+        with pytest.raises(Exception, match="more than one series"):
+            make()
+
+
+def test_number_on_the_left_and_names(spark):
+    v = vec(spark, ({"i": "1"}, 0, 4), ({"i": "2"}, 0, 8)).withColumn("name", F.lit("m"))
+    assert rows(op.scalar_left(100, "-", v), "name", "value") == [("", 92.0), ("", 96.0)]
+    assert rows(op.scalar_left(1, "/", v), "value") == [(0.125,), (0.25,)]
+    assert rows(op.scalar_left(5, "<", v), "name", "value") == [("m", 8.0)]
+    assert rows(op.scalar_left(5, "<", v, bool_result=True), "name", "value") == [("", 0.0), ("", 1.0)]
+    assert rows(op.one_to_one(v, v, ">=", on=["i"]), "name", "value") == [("m", 4.0), ("m", 8.0)]
+    assert rows(op.one_to_one(v, v, "+", on=["i"]), "name", "value") == [("", 16.0), ("", 8.0)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
@@ -78,16 +79,16 @@ def search(points: DataFrame, matchers: Iterable[Matcher] = (), name: str | None
 
 
 def parse_limit(text: str | None) -> int:
-    """The limit of a search request; missing or unreadable text gives the default."""
-    try:
-        return int(text)
-    except (TypeError, ValueError):
+    """The limit of a search request; text that is missing or no ASCII whole number gives
+    the default.  A negative limit is kept as given, and :func:`limit_series` takes it as 0."""
+    if text is None or not re.fullmatch(r"[+-]?[0-9]+", text, re.ASCII):
         return DEFAULT_LIMIT
+    return int(text)
 
 
 def limit_series(series: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
     """The first ``limit`` series in key order."""
-    return series.orderBy(*SERIES).limit(limit)
+    return series.orderBy(*SERIES).limit(max(0, limit))
 
 
 def metrics(series: DataFrame) -> DataFrame:
@@ -97,9 +98,15 @@ def metrics(series: DataFrame) -> DataFrame:
 
 
 def fetch_ids(points: DataFrame, keys: DataFrame | list[str], start: Moment,
-              end: Moment) -> DataFrame:
-    """Samples of the series named by key text: a list, or a DataFrame with ``series_key``."""
+              end: Moment, namespace: str | None = None) -> DataFrame:
+    """Samples of the series named by key text: a list, or a DataFrame with ``series_key``.
+
+    ``namespace`` keeps to one of them; None takes a series from all that have it.  A list
+    passes through the driver: hand over long ones as a DataFrame.
+    """
     window = in_range(points, start, end)
+    if namespace is not None:
+        window = window.where(F.col("namespace") == namespace)
     if isinstance(keys, list):
         if len(keys) <= INLINE_IDS:
             return window.where(F.col("series_key").isin(keys))
@@ -179,8 +186,8 @@ def resolve(matchers: Iterable[Matcher], start: Moment, end: Moment,
 
 
 def same_ranges(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Requests of ``left`` that ``right`` holds too: equal id, range and policy."""
-    columns = ["id", "range_start", "range_end", "policy"]
+    """Requests of ``left`` that ``right`` holds too: equal series, range and policy."""
+    columns = ["series_key", "range_start", "range_end", "policy"]
     return left.join(right.select(*columns).distinct(), columns, "left_semi")
 
 
@@ -188,10 +195,18 @@ def fetch_requests(points: DataFrame, requests: DataFrame) -> DataFrame:
     """Samples for request rows (series_key, range_start, range_end, policy).
 
     The requests are keyed by series, so this is an equi-join; overlapping requests for
-    one series give a sample once per request, as separate requests would.
+    one series give a sample once per request, as separate requests would.  On a table cut by
+    day they are keyed by day too, which leaves out the partitions of other days.  With a
+    column ``namespace`` they keep to it.
     """
-    wanted = requests.select("series_key", "range_start", "range_end", "policy")
-    joined = points.join(wanted, "series_key")
+    spaced = [c for c in ("namespace",) if c in requests.columns]
+    wanted = requests.select(*spaced, "series_key", "range_start", "range_end", "policy")
+    keys = [*spaced, "series_key"]
+    if CUTS["day"] in points.columns:
+        wanted = wanted.withColumn(CUTS["day"], F.explode(F.sequence(
+            F.to_date("range_start"), F.to_date("range_end"))))
+        keys.append(CUTS["day"])
+    joined = points.join(wanted, keys)
     return joined.where((F.col("ts") >= F.col("range_start"))
                         & (F.col("ts") < F.col("range_end")))
 
@@ -208,6 +223,13 @@ def fetch_many(points: DataFrame,
     """Several queries in one pass: each sample once per query it answers, marked by
     ``query``.  All tests run in a single scan."""
     tests = []
+    queries = list(queries)
+    if queries:
+        # the span of all ranges reaches the partitions of a stored table
+        points = in_range(points, F.least(*[moment(q[2]) for q in queries])
+                          if len(queries) > 1 else queries[0][2],
+                          F.greatest(*[moment(q[3]) for q in queries])
+                          if len(queries) > 1 else queries[0][3])
     for label, matchers, start, end in queries:
         hit = (all_of(matchers, points.columns)
                & (F.col("ts") >= moment(start)) & (F.col("ts") < moment(end)))

@@ -84,20 +84,24 @@ def _matched_tags(on: Sequence[str] | None) -> list[Column]:
 
 def _single(df: DataFrame, side: str, on: Sequence[str] | None,
             ignoring: Sequence[str] | None, tags: Column | None = None) -> DataFrame:
-    """One row per match key and step; a second one is an error.  Counting before the
-    join keeps a key with many rows on both sides from multiplying."""
+    """One row per match key and step; a second one is an error, raised by a filter that no
+    pruning of columns takes away.  Counting before the join keeps a key with many rows on
+    both sides from multiplying."""
     match = match_columns(df, on, ignoring)
     carried = [F.first("__tags").alias("tags")] if tags is not None else []
+    if side == "left":
+        carried.append(F.first("name").alias("name"))
     rows = df.select("step_ts", "value", *[c.alias(n) for n, c in match.items()],
-                     *([tags.alias("__tags")] if tags is not None else [])) \
+                     *([tags.alias("__tags")] if tags is not None else []),
+                     *(["name"] if side == "left" else [])) \
         .groupBy(*match, "step_ts").agg(
             F.max("value").alias("__max"), F.count(F.lit(1)).alias("__n"), *carried)
     message = F.concat_ws(" ", F.lit(f"more than one series on the {side} side for"),
                           *[F.col(f"`{n}`") for n in match])
-    value = F.when(F.col("__n") == 1, F.col("__max")).otherwise(
-        F.raise_error(message).cast("double"))
-    return rows.select(*[f"`{n}`" for n in match], "step_ts", value.alias(f"{side}_value"),
-                       *(["tags"] if tags is not None else []))
+    alone = F.when(F.col("__n") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return rows.where(alone).select(
+        *[f"`{n}`" for n in match], "step_ts", F.col("__max").alias(f"{side}_value"),
+        *(["tags"] if tags is not None else []), *(["name"] if side == "left" else []))
 
 
 def _with_match(df: DataFrame, on, ignoring) -> tuple[DataFrame, list[str]]:
@@ -105,13 +109,18 @@ def _with_match(df: DataFrame, on, ignoring) -> tuple[DataFrame, list[str]]:
     return df.select("*", *[c.alias(n) for n, c in match.items()]), list(match)
 
 
-def _spread_join(many: DataFrame, one: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+def _spread_join(many: DataFrame, one: DataFrame, keys: Sequence[str], how: str,
+                 spread: int) -> DataFrame:
     """Join where ``one`` has a row per (key, step) and ``many`` any number: the many rows
-    of a key are spread over SPREAD tasks and the one row goes to each of them."""
+    of a key are spread over ``spread`` tasks and the one row goes to each of them."""
+    if spread & (spread - 1) or spread < 1:
+        raise ValueError("the spread must be a power of two")
+    if spread == 1:
+        return many.join(one, [*keys, "step_ts"], how)
     # not nullable, so no null test on it wanders down to the scan, where it would keep two
     # uses of one vector from sharing their shuffle
-    salt = F.xxhash64("series_key").bitwiseAND(F.lit(SPREAD - 1))
-    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint")))
+    salt = F.xxhash64("series_key").bitwiseAND(F.lit(spread - 1))
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint")))
     return many.withColumn("__salt", salt).join(
         one.withColumn("__salt", copies), [*keys, "step_ts", "__salt"], how).drop("__salt")
 
@@ -130,9 +139,11 @@ def _combined(op: str, a: Column, b: Column, bool_result: bool) -> tuple[Column,
 
 def _finish(joined: DataFrame, op: str, a: Column, b: Column, bool_result: bool,
             *columns) -> DataFrame:
+    """The result; a metric's name stays only where a comparison filters its own values."""
     value, keep = _combined(op, a, b, bool_result)
     kept = joined.where(keep) if keep is not None else joined
-    return kept.select(*columns, "step_ts", value.alias("value"))
+    name = F.col("name") if keep is not None else F.lit("").alias("name")
+    return kept.select(name, *columns, "step_ts", value.alias("value"))
 
 
 def one_to_one(left: DataFrame, right: DataFrame, op: str, on: Sequence[str] | None = None,
@@ -144,31 +155,33 @@ def one_to_one(left: DataFrame, right: DataFrame, op: str, on: Sequence[str] | N
     b = _single(right, "right", on, ignoring)
     joined = a.join(b, [*match_columns(left, on, ignoring), "step_ts"])
     return _finish(joined, op, F.col("left_value"), F.col("right_value"), bool_result,
-                   F.lit("").alias("name"), *_matched_tags(on))
+                   *_matched_tags(on))
 
 
 def group_left(left: DataFrame, right: DataFrame, op: str, on: Sequence[str] | None = None,
                ignoring: Sequence[str] | None = None, include: Sequence[str] = (),
-               bool_result: bool = False) -> DataFrame:
+               bool_result: bool = False, spread: int = SPREAD) -> DataFrame:
     """Many left rows to one right row.  The result keeps the left tags; ``include``
     takes these tags from the right side."""
-    return _many_to_one(left, right, op, on, ignoring, include, bool_result, "right")
+    return _many_to_one(left, right, op, on, ignoring, include, bool_result, "right", spread)
 
 
 def group_right(left: DataFrame, right: DataFrame, op: str, on: Sequence[str] | None = None,
                 ignoring: Sequence[str] | None = None, include: Sequence[str] = (),
-                bool_result: bool = False) -> DataFrame:
+                bool_result: bool = False, spread: int = SPREAD) -> DataFrame:
     """One left row to many right rows."""
-    return _many_to_one(right, left, op, on, ignoring, include, bool_result, "left")
+    return _many_to_one(right, left, op, on, ignoring, include, bool_result, "left", spread)
 
 
 def _many_to_one(many: DataFrame, one: DataFrame, op: str, on, ignoring,
-                 include: Sequence[str], bool_result: bool, one_side: str) -> DataFrame:
+                 include: Sequence[str], bool_result: bool, one_side: str,
+                 spread: int) -> DataFrame:
     single = _single(one, one_side, on, ignoring, F.col("tags") if include else None)
+    single = single.drop("name")
     if include:
         single = single.withColumnRenamed("tags", "one_tags")
     keyed, keys = _with_match(many, on, ignoring)
-    joined = _spread_join(keyed, single, keys, "inner")
+    joined = _spread_join(keyed, single, keys, "inner", spread)
     own, other = F.col("value"), F.col(f"{one_side}_value")
     a, b = (own, other) if one_side == "right" else (other, own)
     tags, key = F.col("tags"), F.col("series_key")
@@ -179,36 +192,48 @@ def _many_to_one(many: DataFrame, one: DataFrame, op: str, on, ignoring,
             F.filter(F.map_entries("one_tags"), lambda e: e["key"].isin(taken)))
         tags = F.map_from_entries(entries)
         key = key_text(tags)
-    return _finish(joined, op, a, b, bool_result, "name", key.alias("series_key"),
-                   tags.alias("tags"))
+    return _finish(joined, op, a, b, bool_result, key.alias("series_key"), tags.alias("tags"))
 
 
 def scalar(left: DataFrame, op: str, number: float, bool_result: bool = False) -> DataFrame:
     """``vector op number`` row by row."""
     return _finish(left, op, F.col("value"), F.lit(float(number)), bool_result,
-                   "name", "series_key", "tags")
+                   "series_key", "tags")
 
 
-def _filtered(left: DataFrame, right: DataFrame, on, ignoring, how: str) -> DataFrame:
+def scalar_left(number: float, op: str, right: DataFrame, bool_result: bool = False) -> DataFrame:
+    """``number op vector`` row by row; a filtering comparison keeps the vector's values."""
+    if op in COMPARISONS and not bool_result:
+        mirrored = {"<": ">", "<=": ">=", ">": "<", ">=": "<="}.get(op, op)
+        return scalar(right, mirrored, number)
+    return _finish(right, op, F.lit(float(number)), F.col("value"), bool_result,
+                   "series_key", "tags")
+
+
+def _filtered(left: DataFrame, right: DataFrame, on, ignoring, how: str,
+              spread: int) -> DataFrame:
+    """Left rows by whether the right has their key: a left key with very many rows is split
+    by adaptive execution, or spread on request."""
     keyed, keys = _with_match(left, on, ignoring)
     present, _ = _with_match(right, on, ignoring)
-    return _spread_join(keyed, present.select(*keys, "step_ts").distinct(), keys, how) \
+    return _spread_join(keyed, present.select(*keys, "step_ts").distinct(), keys, how, spread) \
         .select(*left.columns)
 
 
 def vector_and(left: DataFrame, right: DataFrame, on: Sequence[str] | None = None,
-               ignoring: Sequence[str] | None = None) -> DataFrame:
+               ignoring: Sequence[str] | None = None, spread: int = 1) -> DataFrame:
     """Left rows with a match on the right."""
-    return _filtered(left, right, on, ignoring, "left_semi")
+    return _filtered(left, right, on, ignoring, "left_semi", spread)
 
 
 def vector_unless(left: DataFrame, right: DataFrame, on: Sequence[str] | None = None,
-                  ignoring: Sequence[str] | None = None) -> DataFrame:
+                  ignoring: Sequence[str] | None = None, spread: int = 1) -> DataFrame:
     """Left rows without a match on the right."""
-    return _filtered(left, right, on, ignoring, "left_anti")
+    return _filtered(left, right, on, ignoring, "left_anti", spread)
 
 
 def vector_or(left: DataFrame, right: DataFrame, on: Sequence[str] | None = None,
-              ignoring: Sequence[str] | None = None) -> DataFrame:
+              ignoring: Sequence[str] | None = None, spread: int = 1) -> DataFrame:
     """All left rows, and the right rows without a match on the left."""
-    return left.unionByName(vector_unless(right, left, on, ignoring).select(*left.columns))
+    return left.unionByName(vector_unless(right, left, on, ignoring, spread)
+                            .select(*left.columns))

@@ -31,6 +31,19 @@ def one_type(spark, sf_dir, event_type):
     return hourly(spark, sf_dir, [eq("event_type", event_type)])
 
 
+@query("q109_number_left", f"""
+SELECT 'event_type=' || event_type || ',user_id=' || user_id || ',' AS series_key, step_ts,
+       '' AS name, round(100 - value, 6) AS value FROM {HOURLY_SQL}
+UNION ALL
+SELECT 'event_type=' || event_type || ',user_id=' || user_id || ',', step_ts, 'events', value
+FROM {HOURLY_SQL} WHERE 5 < value""")
+def number_left(spark, sf_dir):
+    """A number on the left: arithmetic drops the name, a filtering comparison keeps it."""
+    values = hourly(spark, sf_dir)
+    both = op.scalar_left(100, "-", values).unionByName(op.scalar_left(5, "<", values))
+    return both.select("series_key", "step_ts", "name", rounded())
+
+
 _ARITHMETIC_SQL = {
     "+": "a.value + b.value", "-": "a.value - b.value", "*": "a.value * b.value",
     "/": "a.value / b.value", "%": "a.value % b.value", "^": "power(a.value, b.value / 1000)"}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidegrid.functions.matchers import Matcher
 from tidegrid.functions.times import Moment
 from tidegrid.functions.values import wire_precision
-from tidegrid.operators.fetch import fetch, matching, search
+from tidegrid.operators.fetch import fetch, limit_series, matching, search
 from tidegrid.sources.points import SERIES
 from tidegrid.sources.wire import WIRE_SERIES, series_to_points
 
@@ -26,11 +26,12 @@ class StoreType(enum.Enum):
 
 @dataclass(frozen=True)
 class Query:
-    """What a store is asked for."""
+    """What a store is asked for; ``limit`` bounds the series that each store gives."""
     matchers: tuple[Matcher, ...]
     start: Moment
     end: Moment
     name: str | None = None
+    limit: int | None = None
 
 
 @dataclass(frozen=True)
@@ -50,14 +51,15 @@ class Store:
 
     def fetch(self, query: Query) -> DataFrame:
         found = fetch(self.points, query.matchers, query.start, query.end, name=query.name,
-                      series=self.series)
+                      limit=query.limit, series=self.series)
         return found.withColumn("value", wire_precision(F.col("value"))) if self.lossy else found
 
     def search(self, query: Query) -> DataFrame:
         if self.series is not None:
-            known = matching(self.series, query.matchers, query.name)
-            return known.select(*SERIES, "tags")
-        return search(self.points, query.matchers, query.name, query.start, query.end)
+            known = matching(self.series, query.matchers, query.name).select(*SERIES, "tags")
+        else:
+            known = search(self.points, query.matchers, query.name, query.start, query.end)
+        return known if query.limit is None else limit_series(known, query.limit)
 
 
 StoreFilter = Callable[[Query | None, Store], bool]
@@ -93,13 +95,22 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 def fanout_fetch(stores: Sequence[Store], query: Query,
                  accept: StoreFilter = local_only) -> DataFrame:
     """The fetch of every accepted store, one after another, duplicates kept, with
-    ``store`` and ``store_type``.  No accepted store gives an empty result."""
+    ``store`` and ``store_type``.  No accepted store gives an empty result, and so do no
+    stores at all."""
     chosen = filter_stores(stores, accept, query)
     if not chosen:
-        return _marked(stores[0].fetch(query), stores[0]).where(F.lit(False))
+        return _nothing(_FOUND + ", ts timestamp_ntz, value double")
     return _union([_marked(_plain(s.fetch(query)), s) for s in chosen])
 
 
+_FOUND = "namespace string, name string, series_key string, tags map<string,string>"
+
+
+def _nothing(columns: str) -> DataFrame:
+    return SparkSession.active().createDataFrame(
+        [], columns + ", store string, store_type string")
+
+
 def _plain(points: DataFrame) -> DataFrame:
     return points.select("namespace", "name", "series_key", "tags", "ts", "value")
 
@@ -109,7 +120,7 @@ def fanout_search(stores: Sequence[Store], query: Query,
     """The tag search of every accepted store; a series in two stores is listed twice."""
     chosen = filter_stores(stores, accept, query)
     if not chosen:
-        return _marked(stores[0].search(query), stores[0]).where(F.lit(False))
+        return _nothing(_FOUND)
     return _union([_marked(s.search(query), s) for s in chosen])
 
 
