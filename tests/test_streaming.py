@@ -116,6 +116,51 @@ def test_stream_to_stores(spark, tmp_path):
     assert not (tmp_path / "y").exists()
 
 
+def test_feeds_share_a_table_and_keep_its_series(spark, tmp_path):
+    out, series = str(tmp_path / "out"), str(tmp_path / "series")
+    for feed, rows in (("x", [("a", 0, 0), ("b", 1, 0)]), ("y", [("b", 2, 0), ("c", 3, 0)])):
+        path = str(tmp_path / feed)
+        for row in rows:
+            write_file(spark, path, row)
+        op.ingest_points(point_stream(spark, path), out, str(tmp_path / f"mark-{feed}"),
+                         series=series).awaitTermination()
+    assert spark.read.parquet(out).count() == 4
+    keys = [r["series_key"] for r in spark.read.parquet(series).collect()]
+    assert sorted(keys) == ["i=a,", "i=b,", "i=c,"]
+    op.compact(spark, out, str(tmp_path / "merged"))
+    merged = spark.read.parquet(str(tmp_path / "merged"))
+    assert merged.count() == 4 and len(merged.inputFiles()) == 1
+
+
+def test_dropped_partitions(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write_file(spark, path, ("a", 0, 0), ("a", 60 * 50, 0))
+    spark.createDataFrame([("b", None, None, 1.0)], "i string, ts timestamp_ntz, arrival_ts "
+                          "timestamp_ntz, value double").write.mode("append").parquet(path)
+    op.ingest_points(point_stream(spark, path), out, str(tmp_path / "mark")).awaitTermination()
+    assert op.drop_expired(spark, out, T + timedelta(hours=71), SETTINGS) == []
+    assert op.drop_expired(spark, out, T + timedelta(hours=72), SETTINGS) == ["2024-01-01"]
+    left = spark.read.parquet(out)
+    assert sorted(r["value"] for r in left.collect()) == [1.0, 3000.0]
+
+
+def test_namespaces_of_a_stream(spark, tmp_path):
+    path = str(tmp_path / "in")
+    write_file(spark, path, ("a", 0, 0), ("a", 10, 0), ("a", 70, 0), ("a", 250, 0))
+    points = point_stream(spark, path)
+    both = points.withColumn("namespace", F.when(F.col("value") == 10, "far").otherwise("near"))
+
+    def closed(name, **kind):
+        made = op.consolidate_stream(both, SETTINGS, "count", **kind)
+        out = str(tmp_path / name)
+        op.append_stream(made, out, f"{out}-mark").awaitTermination()
+        got = spark.read.schema(made.schema).parquet(out)
+        return sorted((r["step_ts"], r["value"]) for r in got.collect())
+    assert closed("apart") == [(T, 1.0), (T, 2.0)]
+    assert closed("folded", resolutions={"near": "1m", "far": "1h"}) == [
+        (T, 2.0), (T + timedelta(hours=1), 1.0)]
+
+
 def test_retention(spark):
     points = spark.createDataFrame([(T,), (T + timedelta(hours=50),)], "ts timestamp_ntz") \
         .withColumn("block_date", F.to_date("ts"))

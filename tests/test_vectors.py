@@ -177,6 +177,31 @@ def test_consolidate_takes_the_coarsest(spark):
     assert rows(merged, "step_ts", "value") == [(T, 1.5), (T + timedelta(minutes=10), 4.0)]
 
 
+def test_dense_grid_longer_than_a_run(spark):
+    v = vec(spark, ({"a": "1"}, 0, 1), ({"a": "2"}, 0, 1))
+    made = grid.dense_grid(v, T, T + timedelta(seconds=25_001), "1s")
+    found = made.groupBy("series_key").agg(F.count_distinct("step_idx"), F.max("step_idx"),
+                                           F.count(F.lit(1))).collect()
+    assert sorted(map(tuple, found)) == [("a=1,", 25_001, 25_000, 25_001),
+                                         ("a=2,", 25_001, 25_000, 25_001)]
+
+
+def test_namespaces_are_folded_one_by_one(spark):
+    v = vec(spark, ({"a": "1"}, 0, 1), ({"a": "1"}, 1, 3), ({"a": "1"}, 2, 4))
+    both = v.withColumn("namespace", F.when(F.col("value") < 4, "fine").otherwise("hourly"))
+    names = {"fine": "1m", "hourly": "10m"}
+
+    def value(fn, frame=both, **kind):
+        return grid.consolidate(frame, names, fn, **kind).first()["value"]
+    assert value("avg") == 3.0 and value("avg", flat=True) == 8 / 3
+    assert value("count") == 2.0 and value("count", flat=True) == 3.0
+    assert (value("min"), value("max"), value("last")) == (1.0, 4.0, 4.0)
+    assert value("last", both.where("namespace = 'fine'")) == 3.0
+    nan = both.withColumn("value", F.when(F.col("namespace") == "fine", F.lit(float("nan")))
+                          .otherwise(F.col("value")))
+    assert value("max", nan) == 4.0 and math.isnan(value("sum", nan))
+
+
 def test_unsorted_write_regrids_in_time_order(spark):
     v = vec(spark, ({"foo": "bar"}, 10, 1), ({"foo": "bar"}, 0, 2))
     got = grid.regrid(v, T, "1m")

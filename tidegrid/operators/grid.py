@@ -14,6 +14,9 @@ from tidegrid.operators.fetch import in_range
 from tidegrid.operators.position import with_position
 from tidegrid.sources.points import SERIES, distinct_rows
 
+# steps of an empty grid made from one row
+RUN = 10_000
+
 
 def regrid(points: DataFrame, start: Moment, step: Duration, tie: Sequence[str] = (),
            block: Duration = "24h", keys: Sequence[str] = SERIES,
@@ -28,7 +31,7 @@ def regrid(points: DataFrame, start: Moment, step: Duration, tie: Sequence[str]
 
 def fold(fn: str, value: Column, ts: Column) -> Column:
     """A consolidation fold by name.  ``min``/``max`` skip NaN, the sums do not; ``last``
-    takes the latest sample."""
+    takes the latest sample.  Null values take no part."""
     present = F.when(~F.isnan(value), value)
     folds = {
         "sum": lambda: F.sum(value),
@@ -37,26 +40,66 @@ def fold(fn: str, value: Column, ts: Column) -> Column:
         "min": lambda: nan_for_null(F.min(present)),
         "max": lambda: nan_for_null(F.max(present)),
         # of samples at the same time the largest value, NaN above all, whatever comes first
-        "last": lambda: F.max_by(value, F.struct(ts, value)),
+        "last": lambda: F.max_by(value, F.when(value.isNotNull(), F.struct(ts, value))),
     }
     if fn not in folds:
         raise ValueError(f"unknown fold {fn!r}, expecting one of {', '.join(sorted(folds))}")
     return folds[fn]()
 
 
+def cell_aggregates(namespaces: Sequence[str], fn: str, value: Column,
+                    ts: Column) -> list[Column]:
+    """One aggregate per namespace for :func:`cell_value`: its fold, its latest time, its
+    number of samples.  All of them share one shuffle, and run on streams."""
+    made = []
+    for i, namespace in enumerate(namespaces):
+        own = F.col("namespace") == namespace
+        mine = F.when(own, value)
+        made.append(F.struct(F.count(mine).alias("n"), F.max(F.when(own, ts)).alias("ts"),
+                             fold(fn, mine, ts).alias("value")).alias(f"_cell{i}"))
+    return made
+
+
+def cell_value(namespaces: Sequence[str], fn: str) -> Column:
+    """The fold ``fn`` over one value per namespace, of those that have samples."""
+    cells = F.filter(F.array(*[F.col(f"_cell{i}") for i in range(len(namespaces))]),
+                     lambda c: c["n"] > 0)
+    values = F.transform(cells, lambda c: c["value"])
+    present = F.filter(values, lambda v: ~F.isnan(v))
+    total = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+    return {"sum": lambda: total, "avg": lambda: total / F.size(values),
+            "count": lambda: F.size(values).cast("double"),
+            "min": lambda: nan_for_null(F.array_min(present)),
+            "max": lambda: nan_for_null(F.array_max(present)),
+            "last": lambda: F.array_max(F.transform(
+                cells, lambda c: F.struct(c["ts"], c["value"])))["value"]}[fn]()
+
+
 def consolidate(points: DataFrame, resolutions: dict[str, Duration], fn: str,
-                by: Sequence[str] = ("name", "series_key")) -> DataFrame:
+                by: Sequence[str] = ("name", "series_key"), flat: bool = False) -> DataFrame:
     """Bring all namespaces to the coarsest resolution among them and fold each cell.
 
-    ``resolutions`` lists the namespaces taken part; samples of others are left out.
+    ``resolutions`` lists the namespaces taken part; samples of others are left out.  A cell
+    is first folded for each namespace, then ``fn`` runs over one value per namespace, so raw
+    samples and their rollup do not add up sample by sample; ``count`` then is the number of
+    namespaces present.  ``flat`` folds the samples of all namespaces as one lot instead.
     Result: ``by`` columns, ``step_ts``, ``value``.
     """
     if not resolutions:
         raise ValueError("no namespace given")
-    coarsest = max(resolutions.values(), key=micros_of)
-    kept = points.where(F.col("namespace").isin(sorted(resolutions)))
-    return kept.groupBy(*by, tumbling(F.col("ts"), coarsest).start.alias("step_ts")) \
-        .agg(fold(fn, F.col("value"), F.col("ts")).alias("value"))
+    names = sorted(resolutions)
+    kept = points.where(F.col("namespace").isin(names))
+    cells = kept.groupBy(*by, tumbling(F.col("ts"), coarsest(resolutions)).start
+                         .alias("step_ts"))
+    # a sum of one value is that value: one namespace needs no second fold
+    if flat or (len(names) == 1 and fn != "count"):
+        return cells.agg(fold(fn, F.col("value"), F.col("ts")).alias("value"))
+    return cells.agg(*cell_aggregates(names, fn, F.col("value"), F.col("ts"))) \
+        .select(*by, "step_ts", cell_value(names, fn).alias("value"))
+
+
+def coarsest(resolutions: dict[str, Duration]) -> Duration:
+    return max(resolutions.values(), key=micros_of)
 
 
 def consolidate_custom(points: DataFrame, resolutions: dict[str, Duration], within: str,
@@ -68,7 +111,7 @@ def consolidate_custom(points: DataFrame, resolutions: dict[str, Duration], with
     ``within``; ``merge`` then runs over one value per namespace, in namespace order, with
     the number merged so far.  Only that short list is ever gathered.
     """
-    cells = consolidate(points, resolutions, within, by=[*by, "namespace"])
+    cells = consolidate(points, resolutions, within, by=[*by, "namespace"], flat=True)
     gathered = cells.groupBy(*by, "step_ts").agg(
         F.array_sort(F.collect_list(F.struct("namespace", "value"))).alias("parts"))
     state = F.struct(F.lit(float(zero)).alias("v"), F.lit(0).cast("bigint").alias("n"))
@@ -92,8 +135,12 @@ def dense_grid(points: DataFrame, start: Moment, end: Moment, step: Duration,
                           "ts", "value", F.lit(1).alias("real"))
     # the last step that begins before the end
     last = step_index(moment(end) - interval("1us"), start, step)
-    empty = distinct_rows(window, *by).select(
-        *by, F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("step_idx"),
+    # in runs: no row holds the steps of a whole grid
+    runs = distinct_rows(window, *by).select(*by, F.explode(F.sequence(
+        F.lit(0).cast("bigint"), last, F.lit(RUN).cast("bigint"))).alias("run"))
+    empty = runs.select(
+        *by, F.explode(F.sequence("run", F.least(F.col("run") + RUN - 1, last)))
+        .alias("step_idx"),
         F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(None).cast("double").alias("value"),
         F.lit(None).cast("int").alias("real"))
     grid = cells.unionByName(empty).groupBy(*by, "step_idx").agg(

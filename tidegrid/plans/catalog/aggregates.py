@@ -12,6 +12,7 @@ from tidegrid.operators.vector import vector
 from tidegrid.plans import compose
 from tidegrid.plans.catalog.common import EVENTS, FIRST, LAST, LINES, bucket
 from tidegrid.plans.registry import query
+from tidegrid.session import scratch_path
 from tidegrid.sources.points import events_points, lineitem_points
 
 # hourly sums of each series: the vector of a step has one value per series
@@ -198,3 +199,18 @@ def composed(spark, sf_dir):
         lambda df: consolidate(df, {"default": "24h"}, "sum"),
         lambda df: op.aggregate(df, "max"),
         lambda df: df.withColumn("value", F.round("value", 6)))
+
+
+@query("q125_write_children", f"""
+SELECT 'sum' AS child, event_type, step_ts, round(sum(value), 6) AS value FROM {HOURLY_SQL}
+GROUP BY ALL
+UNION ALL
+SELECT 'max', event_type, step_ts, round(max(value), 6) FROM {HOURLY_SQL} GROUP BY ALL""")
+def write_children(spark, sf_dir):
+    """One vector, aggregated and written by two children."""
+    root = scratch_path(spark, "children")
+    compose.write_children(hourly(spark, sf_dir), {
+        fn: lambda df, fn=fn: op.aggregate(df, fn, by=["event_type"]) for fn in ("sum", "max")},
+        lambda label, df: df.write.parquet(f"{root}/child={label}"))
+    return spark.read.parquet(root).select("child", "event_type", "step_ts",
+                                           F.round("value", 6).alias("value"))

@@ -99,11 +99,12 @@ def two_namespaces(spark, sf_dir):
     return fine.unionByName(hourly.withColumn("namespace", F.lit("1h")))
 
 
-def _register_fold(fn: str, sql: str) -> None:
+def _register_fold(fn: str, inner: str, outer: str) -> None:
     @query(f"q13_consolidate_{fn}", f"""
-SELECT series_key, step_ts, round(value, 6) AS value FROM (
-  SELECT series_key, {bucket('1 hour')} AS step_ts, {sql} AS value FROM {_TWO_NAMESPACES}
-  GROUP BY ALL)""")
+SELECT series_key, step_ts, round({outer}, 6) AS value FROM (
+  SELECT namespace, series_key, {bucket('1 hour')} AS step_ts, max(ts) AS ts, {inner} AS value
+  FROM {_TWO_NAMESPACES} GROUP BY namespace, series_key, {bucket('1 hour')})
+GROUP BY series_key, step_ts""")
     def consolidate(spark, sf_dir):
         return op.consolidate(two_namespaces(spark, sf_dir), _RESOLUTIONS, fn).select(
             "series_key", "step_ts", F.round("value", 6).alias("value"))
@@ -112,7 +113,25 @@ SELECT series_key, step_ts, round(value, 6) AS value FROM (
 for _fn, _sql in {"sum": "sum(value)", "avg": "avg(value)", "min": "min(value)",
                   "max": "max(value)", "count": "count(value)::DOUBLE",
                   "last": "arg_max(value, (ts, value))"}.items():
-    _register_fold(_fn, _sql)
+    _register_fold(_fn, _sql, _sql)
+
+
+@query("q120_consolidate_flat", f"""
+SELECT series_key, {bucket('1 hour')} AS step_ts, count(*)::DOUBLE AS value
+FROM {_TWO_NAMESPACES} GROUP BY ALL""")
+def consolidate_flat(spark, sf_dir):
+    """The samples of all namespaces as one lot."""
+    return op.consolidate(two_namespaces(spark, sf_dir), _RESOLUTIONS, "count", flat=True) \
+        .select("series_key", "step_ts", "value")
+
+
+@query("q121_last_lineitem", f"""
+SELECT series_key, {bucket('168 hours')} AS step_ts, arg_max(value, (ts, value)) AS value
+FROM (SELECT series_key, ts::TIMESTAMP AS ts, value::DOUBLE AS value FROM {LINES}) GROUP BY ALL""")
+def last_lineitem(spark, sf_dir):
+    """The last sample of a week, where many samples have the same day."""
+    return op.consolidate(lineitem_points(spark, sf_dir), {"default": "168h"}, "last") \
+        .select("series_key", "step_ts", "value")
 
 
 @query("q77_custom_fold", f"""

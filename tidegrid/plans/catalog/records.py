@@ -208,3 +208,17 @@ def stored_series(spark, sf_dir):
                  [re_match("event_type", "view|err.*")], START, END,
                  series=point_sink.read_points(spark, f"{root}/series")) \
         .select("event_id", "series_key", "ts", "value")
+
+
+@query("q126_write_batches", f"""
+SELECT series_key, date_trunc('milliseconds', ts) AS ts, value, true AS bounded FROM {EVENTS}""")
+def write_batches(spark, sf_dir):
+    """Write requests in files of at most 100, and all of their samples read back."""
+    path = scratch_path(spark, "files")
+    op.write_batches(write_requests(spark, sf_dir), path, 100)
+    stored = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_path"))
+    long = stored.groupBy("file").agg(F.count(F.lit(1)).alias("n")).where("n > 100")
+    kept = stored.join(long, "file", "left").withColumn("bounded", F.col("n").isNull())
+    points = [wire.write_request_points(kept.where(F.col("bounded") == b).drop("file", "n"))
+              .withColumn("bounded", F.lit(b)) for b in (True, False)]
+    return points[0].unionByName(points[1]).select("series_key", "ts", "value", "bounded")

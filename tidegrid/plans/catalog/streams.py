@@ -5,12 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidegrid.plans.catalog.common import EVENTS, bucket
+from tidegrid.plans.catalog.common import END, EVENTS, START, between, bucket
 from tidegrid.plans.catalog.records import write_requests
+from tidegrid.functions.matchers import re_match
 from tidegrid.functions.times import tumbling
+from tidegrid.operators.fetch import fetch
 from tidegrid.plans.registry import query
 from tidegrid.session import scratch_path
-from tidegrid.sinks.points import read_points
+from tidegrid.sinks.points import read_points, write_points
 from tidegrid.sources.points import events_points, points_from, read_table
 from tidegrid.sources.stores import Store, StoreType, allow_all
 from tidegrid.sources.wire import write_messages
@@ -65,12 +67,58 @@ def retention(spark, sf_dir):
         .select("event_id", "series_key", "ts", "value")
 
 
+MONTH_END = op.NamespaceSettings.of("240h", "2h", "10m", "10m")
+
+
 @query("q101_expired_dates", """
 SELECT DISTINCT ts::DATE AS block_date FROM events WHERE ts::DATE < DATE '2024-01-12'""")
 def expired_dates(spark, sf_dir):
-    points = events_points(spark, sf_dir).withColumn("block_date", F.to_date("ts"))
-    settings = op.NamespaceSettings.of("240h", "2h", "10m", "10m")
-    return op.expired_dates(points, "2024-01-22 12:00:00", settings)
+    """Of a stored table, by its partitions."""
+    path = scratch_path(spark, "stored")
+    write_points(events_points(spark, sf_dir), path)
+    return op.expired_dates(read_points(spark, path), "2024-01-22 12:00:00", MONTH_END)
+
+
+@query("q122_drop_expired", f"""
+SELECT event_id, series_key, ts, value FROM {EVENTS} WHERE ts::DATE >= DATE '2024-01-12'""")
+def drop_expired(spark, sf_dir):
+    """The feed ingested, its expired partitions dropped, the rest read."""
+    root = scratch_path(spark, "expiring")
+    finished(op.ingest_points(arriving(event_stream(spark, sf_dir)), f"{root}/points",
+                              f"{root}/checkpoint", keep=["event_id"]))
+    op.drop_expired(spark, f"{root}/points", "2024-01-22 12:00:00", MONTH_END)
+    return read_points(spark, f"{root}/points").select("event_id", "series_key", "ts", "value")
+
+
+@query("q123_stream_series", f"""
+SELECT event_id, series_key, ts, value FROM {EVENTS}
+WHERE {between()} AND event_type IN ('view', 'error')""")
+def stream_series(spark, sf_dir):
+    """A fetch by the series table that the ingest keeps up."""
+    root = scratch_path(spark, "kept")
+    finished(op.ingest_points(arriving(event_stream(spark, sf_dir)), f"{root}/points",
+                              f"{root}/checkpoint", keep=["event_id"], series=f"{root}/series"))
+    return fetch(read_points(spark, f"{root}/points"), [re_match("event_type", "view|err.*")],
+                 START, END, series=read_points(spark, f"{root}/series")) \
+        .select("event_id", "series_key", "ts", "value")
+
+
+@query("q124_stream_namespaces", f"""
+SELECT series_key, step_ts, CASE WHEN event_type = 'purchase' THEN 2.0 ELSE 1.0 END::DOUBLE
+       AS value
+FROM (SELECT DISTINCT series_key, event_type, {bucket('1 hour')} AS step_ts FROM {EVENTS})
+WHERE step_ts + INTERVAL '1 hour' <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'""")
+def stream_namespaces(spark, sf_dir):
+    """Two namespaces in one feed, hourly: how many have samples."""
+    root = scratch_path(spark, "both")
+    every = arriving(event_stream(spark, sf_dir), "raw")
+    bought = arriving(event_stream(spark, sf_dir), "bought") \
+        .where(F.col("tags")["event_type"] == "purchase")
+    closed = op.consolidate_stream(every.unionByName(bought), HOURLY, "count",
+                                   resolutions={"raw": "10m", "bought": "1h"})
+    finished(op.append_stream(closed, f"{root}/out", f"{root}/checkpoint"))
+    return spark.read.schema(closed.schema).parquet(f"{root}/out").select(
+        "series_key", "step_ts", "value")
 
 
 @query("q43_stream_consolidate", f"""

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrid.session import durable
+
 Source = Callable[[SparkSession], DataFrame]
 Step = Callable[[DataFrame], DataFrame]
 
@@ -35,13 +36,10 @@ def to_children(df: DataFrame, children: Mapping[str, Step]) -> dict[str, DataFr
 
 def write_children(df: DataFrame, children: Mapping[str, Step],
                    write: Callable[[str, DataFrame], None]) -> None:
-    """Run all children and write each; the shared source is computed once."""
-    shared = df.persist(StorageLevel.DISK_ONLY)
-    try:
-        for label, child in to_children(shared, children).items():
-            write(label, child)
-    finally:
-        shared.unpersist()
+    """Run all children and write each; the shared source is computed once, to the folder
+    that all executors share."""
+    for label, child in to_children(durable(df), children).items():
+        write(label, child)
 
 
 def union_all(parts: Iterable[DataFrame]) -> DataFrame:

@@ -3,19 +3,23 @@ consolidation."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidegrid.functions.ids import fnv32a
 from tidegrid.functions.times import (Duration, Moment, as_timedelta, epoch, interval, moment,
                                       stream_window, to_micros, window_text)
-from tidegrid.operators.fetch import CUTS, cut_date
-from tidegrid.operators.grid import fold
-from tidegrid.sinks.points import layout
+from tidegrid.operators.fetch import CUTS, cut_date, series_of
+from tidegrid.operators.grid import cell_aggregates, cell_value, coarsest, fold
+from tidegrid.sinks.points import POINT_COLUMNS, layout
+from tidegrid.sources.points import SERIES
 from tidegrid.sources.stores import Store, StoreFilter, filter_stores, local_only
 from tidegrid.sources.wire import (WRITE_MESSAGE, WRITE_REQUEST, write_message_points,
                                    write_request_points)
@@ -60,11 +64,41 @@ def retained(points: DataFrame, now: Moment, settings: NamespaceSettings) -> Dat
 
 def expired_dates(points: DataFrame, now: Moment, settings: NamespaceSettings) -> DataFrame:
     """The partitions of a stored table that hold nothing but expired samples."""
+    column = next((c for c in CUTS.values() if c in points.columns), None)
+    if column is None:
+        raise ValueError(f"the table is not cut by date: none of {', '.join(CUTS.values())}")
     oldest = F.to_date(moment(now) - interval(settings.retention))
-    column = next(c for c in CUTS.values() if c in points.columns)
-    last_day = {"block_date": F.col(column), "block_month": F.last_day(column),
-                "block_year": F.date_sub(F.add_months(column, 12), 1)}[column]
-    return points.select(column).where(last_day < oldest).distinct()
+    return points.select(column).where(_last_day(column) < oldest).distinct()
+
+
+def _last_day(column: str) -> Column:
+    """The last day in a partition."""
+    return {"block_date": F.col(column), "block_month": F.last_day(column),
+            "block_year": F.date_sub(F.add_months(column, 12), 1)}[column]
+
+
+def drop_expired(spark: SparkSession, path: str, now: Moment,
+                 settings: NamespaceSettings) -> list[str]:
+    """Delete the partitions of the table at ``path`` that hold nothing but expired samples.
+
+    The partitions are listed by their folder names, so no file is opened.  Samples without
+    a time have no date and stay.  Returns the dates dropped, in order.
+    """
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = {}
+    for status in fs.listStatus(root):
+        column, _, first = status.getPath().getName().partition("=")
+        if column in CUTS.values():
+            folders[(column, first)] = status.getPath()
+    dropped = []
+    for column in sorted({c for c, _ in folders}):
+        stored = spark.createDataFrame([(d,) for c, d in folders if c == column], "d string") \
+            .select(F.expr("try_cast(d AS date)").alias(column))
+        for row in expired_dates(stored, now, settings).collect():
+            fs.delete(folders[(column, str(row[0]))], True)
+            dropped.append(str(row[0]))
+    return sorted(dropped)
 
 
 def request_stream(spark: SparkSession, path: str, fmt: str = "json",
@@ -81,59 +115,105 @@ def _files(spark: SparkSession, path: str, schema: str, fmt: str,
     return reader.format(fmt).load(path)
 
 
-def ingest(requests: DataFrame, path: str, checkpoint: str,
-           promote: Sequence[str] = ()) -> StreamingQuery:
-    """Append a request stream to a points table, as far as there is input now."""
-    return ingest_points(write_request_points(requests), path, checkpoint, promote)
+# As far as there is input now; {"processingTime": "10 seconds"} goes on for ever.
+ALL_THERE_IS = {"availableNow": True}
+
 
+def ingest(requests: DataFrame, path: str, checkpoint: str, promote: Sequence[str] = (),
+           series: str | None = None, trigger: dict = ALL_THERE_IS) -> StreamingQuery:
+    """Append a request stream to a points table."""
+    return ingest_points(write_request_points(requests), path, checkpoint, promote,
+                         series=series, trigger=trigger)
 
-def ingest_messages(messages: DataFrame, path: str, checkpoint: str,
-                    promote: Sequence[str] = ()) -> StreamingQuery:
+
+def ingest_messages(messages: DataFrame, path: str, checkpoint: str, promote: Sequence[str] = (),
+                    series: str | None = None, trigger: dict = ALL_THERE_IS) -> StreamingQuery:
     """Append a message stream to a points table, unit and annotation kept."""
     return ingest_points(write_message_points(messages), path, checkpoint, promote,
-                         keep=["unit", "annotation"])
-
-
-# As far as there is input now; {"processingTime": "10 seconds"} goes on for ever.
-ALL_THERE_IS = {"availableNow": True}
+                         ["unit", "annotation"], series, trigger)
 
 
 def ingest_points(points: DataFrame, path: str, checkpoint: str, promote: Sequence[str] = (),
-                  keep: Sequence[str] = (), trigger: dict = ALL_THERE_IS) -> StreamingQuery:
+                  keep: Sequence[str] = (), series: str | None = None,
+                  trigger: dict = ALL_THERE_IS) -> StreamingQuery:
     """Append a point stream to a points table, as far as there is input now, or as
-    ``trigger`` says."""
-    return layout(points, promote, keep).writeStream.format("parquet").outputMode("append") \
-        .option("path", path).option("checkpointLocation", checkpoint) \
-        .partitionBy("block_date").trigger(**trigger).start()
+    ``trigger`` says.  With ``series``, the series table there is kept complete as well."""
+    def write(batch: DataFrame, label: str) -> None:
+        if series is not None:
+            # first the series: a search in between finds a series without samples at worst
+            _append_series(batch, series, label)
+        _append(batch, path, label, promote, keep)
+    return _batches(points, write, checkpoint, trigger)
 
 
-def ingest_admitted(points: DataFrame, settings: NamespaceSettings, accepted: str, refused: str,
-                    checkpoint: str, arrival: str = "arrival_ts") -> StreamingQuery:
-    """Append admitted points to one table and the refused to another.
+def _batches(points: DataFrame, write, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """Runs ``write(batch, label)``; labels tell batches and feeds apart and are the same
+    when a batch is run again."""
+    feed = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+    return points.writeStream.foreachBatch(lambda batch, n: write(batch, f"{feed}-{n}")) \
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def _append(batch: DataFrame, path: str, label: str, promote: Sequence[str] = (),
+            keep: Sequence[str] | None = None) -> None:
+    """Adds a batch to a points table: cut by date first, then by batch; even, sorted files.
 
-    A batch writes to folders of its own number and overwrites them, so a batch run again
-    after a failure leaves no sample twice.
+    Only folders of this label are overwritten, so a batch run again after a failure leaves
+    no sample twice.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
+    if keep is None:
+        keep = [c for c in batch.columns if c not in POINT_COLUMNS]
+    layout(batch, promote, keep).withColumn("batch_id", F.lit(label)) \
+        .hint("rebalance", "block_date").sortWithinPartitions("block_date", "series_key", "ts") \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("block_date", "batch_id").parquet(path)
+
+
+def _append_series(batch: DataFrame, path: str, label: str) -> None:
+    """Adds the series of a batch that no other batch has brought yet."""
+    spark, found = batch.sparkSession, series_of(batch)
+    try:
+        known = spark.read.parquet(path).where(F.col("batch_id") != label)
+    except AnalysisException:  # the first batch: no table yet
+        known = None
+    if known is not None:
+        found = found.join(known.select(*SERIES), SERIES, "left_anti")
+    found.withColumn("series_id", fnv32a(F.col("series_key"))) \
+        .withColumn("batch_id", F.lit(label)).hint("rebalance") \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("batch_id").parquet(path)
+
+
+def compact(spark: SparkSession, path: str, target: str) -> None:
+    """Writes the table at ``path`` with the many files of its batches merged to ``target``,
+    a new table in the layout of :func:`~tidegrid.sinks.points.write_points`."""
+    stored = spark.read.parquet(path)
+    stored.drop("batch_id").hint("rebalance", "block_date") \
+        .sortWithinPartitions("block_date", "series_key", "ts") \
+        .write.partitionBy("block_date").parquet(target)
+
+
+def ingest_admitted(points: DataFrame, settings: NamespaceSettings, accepted: str, refused: str,
+                    checkpoint: str, arrival: str = "arrival_ts",
+                    trigger: dict = ALL_THERE_IS) -> StreamingQuery:
+    """Append admitted points to one table and the refused to another."""
+    def write(batch: DataFrame, label: str) -> None:
         # a batch is a fixed set of offsets: it is read again for the second table
         for part, path in zip(admit(batch, settings, arrival), (accepted, refused)):
-            part.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return points.writeStream.foreachBatch(write) \
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+            _append(part, path, label)
+    return _batches(points, write, checkpoint, trigger)
 
 
 def fanout_ingest(points: DataFrame, stores: Sequence[Store], checkpoint: str,
-                  accept: StoreFilter = local_only) -> StreamingQuery:
+                  accept: StoreFilter = local_only,
+                  trigger: dict = ALL_THERE_IS) -> StreamingQuery:
     """Append a point stream to every accepted store."""
     chosen = filter_stores(stores, accept)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, label: str) -> None:
         for store in chosen:
-            batch.write.mode("overwrite").parquet(f"{store.path}/batch_id={batch_id}")
-
-    return points.writeStream.foreachBatch(write) \
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+            _append(batch, store.path, label)
+    return _batches(points, write, checkpoint, trigger)
 
 
 def message_stream(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -143,27 +223,42 @@ def message_stream(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 def consolidate_stream(points: DataFrame, settings: NamespaceSettings, fn: str,
-                       by: Sequence[str] = ("name", "series_key"),
-                       arrival: str | None = None) -> DataFrame:
+                       by: Sequence[str] = ("namespace", "name", "series_key"),
+                       arrival: str | None = None,
+                       resolutions: dict[str, Duration] | None = None) -> DataFrame:
     """Windowed consolidation of a point stream, one row per closed window.
 
+    Windows are blocks, and namespaces stay apart.  With ``resolutions``, windows are as wide
+    as the coarsest of them and ``fn`` runs over one value per namespace listed, as in
+    :func:`~tidegrid.operators.grid.consolidate`; ``namespace`` is no key then.
+
     With ``arrival``, only admitted samples take part; without that test a single sample
     from far ahead moves the watermark and closes every window before it.
 
     ``buffer_past`` is the watermark delay; a window leaves once no admitted sample can
     reach it any more.  Watermarks need an instant, so ``ts`` is read as UTC here.
     """
+    width: Duration = settings.block_size
+    value, names = F.col("value"), sorted(resolutions or {})
+    if resolutions:
+        by = [c for c in by if c != "namespace"]
+        width = coarsest(resolutions)
+        points = points.where(F.col("namespace").isin(names))
     if arrival is not None:
         points, _ = admit(points, settings, arrival)
     at = points.withColumn("at", F.timestamp_micros(to_micros(F.col("ts"))))
-    return at.withWatermark("at", window_text(settings.buffer_past)) \
-        .groupBy(*by, stream_window(F.col("at"), settings.block_size).alias("w")) \
-        .agg(fold(fn, F.col("value"), F.col("at")).alias("value")) \
-        .select(*by, F.timestamp_add("MICROSECOND", F.unix_micros("w.start"), epoch())
-                .alias("step_ts"), "value")
-
-
-def append_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append closed windows to a parquet table, as far as there is input now."""
+    cells = at.withWatermark("at", window_text(settings.buffer_past)) \
+        .groupBy(*by, stream_window(F.col("at"), width).alias("w"))
+    start = F.timestamp_add("MICROSECOND", F.unix_micros("w.start"), epoch()).alias("step_ts")
+    if not resolutions:
+        return cells.agg(fold(fn, value, F.col("at")).alias("value")).select(*by, start, "value")
+    return cells.agg(*cell_aggregates(names, fn, value, F.col("at"))) \
+        .select(*by, start, cell_value(names, fn).alias("value"))
+
+
+def append_stream(df: DataFrame, path: str, checkpoint: str,
+                  trigger: dict = ALL_THERE_IS) -> StreamingQuery:
+    """Append closed windows to a parquet table, as far as there is input now, or as
+    ``trigger`` says."""
     return df.writeStream.format("parquet").outputMode("append").option("path", path) \
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
