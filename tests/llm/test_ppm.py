@@ -121,7 +121,7 @@ def test_odd_rows(spark):
     rows += rows[5:7]
     df = spark.createDataFrame(rows, "doc_id long, text string, learn boolean") \
         .selectExpr("*", "'x' AS score", "1 AS n_known")
-    got = ppm_scores(df, "learn", order=ORDER, cutoff=0).collect()
+    got = ppm_scores(df, "learn", order=ORDER).collect()
     plain = Plain([r[1] for r in rows if r[2]])
     want = base_by_definition([r[1] for r in rows], [bool(r[2]) for r in rows])
     facts = {(r[0], r[1], r[2]): w for r, w in zip(rows, want)}

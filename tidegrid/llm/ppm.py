@@ -5,17 +5,16 @@ how often each byte followed each context of up to five bytes, over all training
 is coded in the longest context known; where it is new there, an escape is coded and the next
 shorter context tried, in which the bytes already ruled out are excluded.
 
-Counting runs over all texts with sums before the shuffle.  A trie entry is kept if it has at
-least one in two million of all counts of its order: at every size of input that is at most two
-million entries an order, which bounds what is broadcast.  What was not kept feeds the escape.
-
-The base score needs counts of words, which nothing bounds.  Documents are dealt into slices;
-each slice sends its distinct word hashes to shards, and each shard sends back their counts.
+Nothing bounds the trie or the counts of words, so neither is ever in one place.  Documents are
+dealt into slices; each slice sends its distinct words and grams (a context and its byte) with
+their training counts to shards, and each shard sums them up.  The trie is then cut by the last
+three bytes of the context: all that the code length of a gram depends on lies in its part, but
+for contexts of two bytes or less, which every part gets (at most 256^3 entries).  Code lengths go
+back to the shards, and each slice gets those of its own grams, as it gets its words' counts.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,12 +26,14 @@ from tidegrid.llm.common import NOT_SPACE, blob, chunks, extended, hashed_runs,
     slice_count, slice_of, without, written
 
 ORDER = 5
-CUTOFF = 5e-7
+# Contexts up to this length are known to every part of the trie.
+SHORT = 2
 # Taken from every count and given to the escape, as in the method's variant D.
 DISCOUNT = 0.5
 END = 10
 SLICES_PER_SHARD = 4
 MERGE_AT = 1_500_000
+PART_GRAMS = 1_000_000
 # Bytes of text worked on at once: a byte takes some hundred bytes of arrays meanwhile.
 TEXT_AT_ONCE = 1_000_000
 
@@ -53,51 +54,17 @@ def byte_grams(texts: list, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]
     return gram[coded], np.repeat(np.arange(len(texts)), sizes - order)
 
 
-def _count_grams(order: int):
-    def merged(found: list) -> list:
-        keys = np.concatenate([k for k, _ in found])
-        counts = np.concatenate([n for _, n in found])
-        keys, at = np.unique(keys, return_inverse=True)
-        return [(keys, np.bincount(at, counts, len(keys)).astype(np.int64))]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, held = [], 0
-        for batch in batches:
-            for _, _, texts in chunks(batch.column("text"), TEXT_AT_ONCE):
-                found.append(np.unique(byte_grams(texts, order)[0], return_counts=True))
-                held += len(found[-1][0])
-                if held > MERGE_AT:
-                    found = merged(found)
-                    held = len(found[0][0])
-                    if held > MERGE_AT // 2:
-                        yield _batch(*found.pop())
-                        held = 0
-        if found:
-            yield _batch(*merged(found)[0])
-
-    def _batch(keys, counts):
-        return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(counts)],
-                                          names=["gram", "n"])
-    return run
-
-
-def gram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(gram, n) of every context and byte in column ``text``, all training texts summed."""
-    return texts.mapInArrow(_count_grams(order), "gram long, n long") \
-        .groupBy("gram").agg(F.sum("n").alias("n"))
+def merged(found: list) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sums of their counts."""
+    keys, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+    return keys, np.bincount(at, np.concatenate([n for _, n in found]), len(keys)).astype(np.int64)
 
 
-def trie_entries(grams: DataFrame, order: int = ORDER, cutoff: float = CUTOFF) -> DataFrame:
-    """(depth, gram, n) for contexts of 0 to ``order`` bytes, cut off by relative frequency.
-
-    Shorter contexts are sums of longer ones, so a kept entry's suffix is always kept.
-    """
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    suffixes = F.array(*[F.struct(F.lit(k).alias("depth"), F.col("gram").bitwiseAND(
-        F.lit((1 << 8 * (k + 1)) - 1)).alias("gram")) for k in range(order + 1)])
-    return grams.select(F.explode(suffixes).alias("e"), "n") \
-        .groupBy(F.col("e.depth").alias("depth"), F.col("e.gram").alias("gram")) \
-        .agg(F.sum("n").alias("n")).where(F.col("n") >= F.lit(cutoff * total))
+def distinct_grams(texts: list, train: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The grams of some texts, ascending, and how often each is in a text learnt from."""
+    grams, owner = byte_grams(texts, order)
+    keys, at = np.unique(grams, return_inverse=True)
+    return keys, np.bincount(at, train[owner], len(keys)).astype(np.int64)
 
 
 class HashIndex:
@@ -144,7 +111,6 @@ class Trie:
 
     def __init__(self, depth: np.ndarray, gram: np.ndarray, n: np.ndarray, order: int = ORDER):
         self.order, self.levels = order, []
-        occurrences = None
         for k in range(order + 1):
             at = depth == k
             keys, counts = gram[at].astype(np.uint64), n[at].astype(np.float64)
@@ -155,26 +121,19 @@ class Trie:
             kept = np.bincount(of, less, len(contexts))
             kinds = np.bincount(of, minlength=len(contexts)) * DISCOUNT
             level = {"grams": HashIndex(keys), "log_n": _log(less), "of": of, "kinds": kinds,
-                     "kept": kept, "contexts": HashIndex(contexts), "counts": counts,
-                     "less": less}
-            if k == 0:
-                dropped = np.zeros(len(contexts))
-            else:
+                     "kept": kept, "contexts": HashIndex(contexts), "less": less}
+            if k:
                 shorter = self.levels[-1]
-                known = shorter["grams"].find(contexts)
-                whole = np.bincount(of, counts, len(contexts))
-                dropped = np.maximum(0, shorter["counts"][known] - whole) * (known >= 0)
                 suffix = np.uint64((1 << 8 * k) - 1)
                 excluded = np.bincount(of, shorter["less"][
                     shorter["grams"].find(keys & suffix)], len(contexts))
                 up = shorter["contexts"].find(contexts & (suffix >> np.uint64(8)))
                 left = shorter["kept"][up] - excluded
-                escape = shorter["kinds"][up] - kinds + shorter["dropped"][up]
+                escape = shorter["kinds"][up] - kinds
                 level["log_left"] = _log(left + escape)
                 level["log_on"] = np.where(escape > 0, _log(escape) - level["log_left"], 0.0)
-            level["dropped"] = dropped
-            level["log_all"] = _log(kept + kinds + dropped)
-            level["log_escape"] = _log(kinds + dropped) - level["log_all"]
+            level["log_all"] = _log(kept + kinds)
+            level["log_escape"] = _log(kinds) - level["log_all"]
             level["first"] = (level["log_n"] - level["log_all"][of]).astype(np.float32)
             self.levels.append(level)
         self.kinds0 = float(self.levels[0]["kinds"].sum()) / DISCOUNT
@@ -210,55 +169,111 @@ class Trie:
         return out
 
 
-# One trie per Python worker: the tasks of a query share it.
-_TRIES: dict[str, Trie] = {}
-
-
-def _trie(label: str, shared) -> Trie:
-    if label not in _TRIES:
-        _TRIES.clear()
-        _TRIES[label] = Trie(*shared.value)
-    return _TRIES[label]
+def _levels(gram: np.ndarray, n: np.ndarray, depths: range) -> list[tuple]:
+    """(depth, gram, n) of all shorter grams that these end in."""
+    out = []
+    for k in depths:
+        keys, counts = merged([(gram & np.uint64((1 << 8 * (k + 1)) - 1), n)])
+        out.append((np.full(len(keys), k), keys, counts))
+    return out
+
+
+def code_lengths(short: tuple[np.ndarray, np.ndarray], order: int):
+    """log10 of the probability of every gram of a part, by the part's own trie.
+
+    ``short`` has the counts of all contexts of :data:`SHORT` bytes with their bytes."""
+    def run(part: pa.Table) -> pa.Table:
+        gram = np.asarray(part.column("gram")).view(np.uint64)
+        n = np.asarray(part.column("n"))
+        low, seen = min(SHORT, order), n > 0
+        entries = _levels(*short, range(low + 1)) \
+            + _levels(gram[seen], n[seen], range(low + 1, order + 1))
+        trie = Trie(*map(np.concatenate, zip(*entries)), order)
+        bits = np.concatenate([trie.log10(gram[lo:lo + PART_GRAMS])
+                               for lo in range(0, len(gram), PART_GRAMS)])
+        return pa.table({"shard": part.column("shard"), "gram": part.column("gram"),
+                         "bits": pa.array(bits.astype(np.float32))})
+    return run
 
 
 def _shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return (mix64(hashes + np.uint64(1)) % np.uint64(shards)).astype(np.int32)
 
 
-def _word_counts(shards: int):
-    """For each slice and shard the distinct word hashes, ascending, and their training counts."""
+def _gram_shard(grams: np.ndarray, shards: int) -> np.ndarray:
+    """Grams that differ in their last two bytes alone stay together: they pack well."""
+    return _shard_of(grams >> np.uint64(16), shards)
+
+
+WORDS, GRAMS = 0, 1
+
+
+def _requests(shards: int, order: int):
+    """For each slice and shard the distinct word hashes, then the distinct grams, ascending,
+    and their training counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, list] = {}
+        found: dict[tuple[int, int], list] = {}
+
+        def add(kind, s, keys, n):
+            parts = found.setdefault((kind, int(s)), [])
+            parts.append((keys, n))
+            if sum(len(k) for k, _ in parts[1:]) > max(MERGE_AT, len(parts[0][0])):
+                parts[:] = [merged(parts)]
+
         for batch in batches:
             slices = np.asarray(batch.column("_slice"))
             train = np.asarray(batch.column("_train")).astype(bool)
-            for lo, hi, texts in chunks(batch.column("_text")):
+            for lo, hi, texts in chunks(batch.column("_text"), TEXT_AT_ONCE):
                 hashes, owner = hashed_runs(texts, NOT_SPACE)
                 of = slices[lo:hi][owner]
-                for s in np.unique(of):
+                for s in np.unique(slices[lo:hi]):
                     mine = of == s
                     keys, at = np.unique(hashes[mine], return_inverse=True)
-                    n = np.bincount(at, train[lo:hi][owner[mine]], len(keys))
-                    found.setdefault(int(s), []).append((keys, n))
-        for s, parts in found.items():
-            keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-            n = np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.uint32)
-            shard = _shard_of(keys, shards)
+                    n = np.bincount(at, train[lo:hi][owner[mine]], len(keys)).astype(np.int64)
+                    add(WORDS, s, keys, n)
+                    rows = np.flatnonzero(slices[lo:hi] == s)
+                    add(GRAMS, s, *distinct_grams([texts[i] for i in rows], train[lo:hi][rows],
+                                                  order))
+        for (kind, s), parts in found.items():
+            keys, n = merged(parts)
+            shard = _gram_shard(keys, shards) if kind == GRAMS else _shard_of(keys, shards)
             for d in np.unique(shard):
                 mine = shard == d
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([d], pa.int32()), pa.array([s], pa.int32()),
-                     pa.array([blob(keys[mine])], pa.binary()),
-                     pa.array([blob(n[mine])], pa.binary())],
-                    names=["shard", "_slice", "hashes", "counts"])
+                    [pa.array([kind], pa.int32()), pa.array([d], pa.int32()),
+                     pa.array([s], pa.int32()), pa.array([blob(keys[mine])], pa.binary()),
+                     pa.array([blob(n[mine].astype("<u4"))], pa.binary())],
+                    names=["kind", "shard", "_slice", "hashes", "counts"])
     return run
 
 
+def _blobs(column: pa.ChunkedArray, kind: str) -> list[np.ndarray]:
+    return [np.frombuffer(x, kind) for x in column.to_pylist()]
+
+
+def _gram_totals(parts: pa.Table) -> pa.Table:
+    """(shard, gram, n) of the corpus; n is 0 where a gram is in held-out texts alone."""
+    keys, n = merged(list(zip(_blobs(parts.column("hashes"), "<u8"),
+                              _blobs(parts.column("counts"), "<u4"))))
+    shard = np.full(len(keys), parts.column("shard")[0].as_py(), np.int32)
+    return pa.table({"shard": shard, "gram": keys.view(np.int64), "n": n})
+
+
+def _gram_replies(parts: pa.Table, coded: pa.Table) -> pa.Table:
+    """Code lengths of each slice's grams, in its order."""
+    gram = np.asarray(coded.column("gram")).view(np.uint64)
+    by = np.argsort(gram)
+    gram, bits = gram[by], np.asarray(coded.column("bits"))[by]
+    replies = [blob(bits[np.searchsorted(gram, k)]) for k in _blobs(parts.column("hashes"), "<u8")]
+    return pa.table({"kind": pa.array([GRAMS] * len(replies), pa.int32()),
+                     "shard": parts.column("shard"), "_slice": parts.column("_slice"),
+                     "totals": pa.array(replies, pa.binary())})
+
+
 def _total_counts(parts: pa.Table) -> pa.Table:
     """Each slice's counts over the whole corpus, in its order; in slice -1 the shard's totals."""
     shard = parts.column("shard")[0].as_py()
-    hashes = [np.frombuffer(x, "<u8") for x in parts.column("hashes").to_pylist()]
-    counts = [np.frombuffer(x, "<u4") for x in parts.column("counts").to_pylist()]
+    hashes, counts = _blobs(parts.column("hashes"), "<u8"), _blobs(parts.column("counts"), "<u4")
     keys, at = np.unique(np.concatenate(hashes), return_inverse=True)
     total = np.bincount(at, np.concatenate(counts), len(keys)).astype(np.uint64)
     replies = np.split(total[at], np.cumsum([len(h) for h in hashes])[:-1])
@@ -274,8 +289,7 @@ def _total_counts(parts: pa.Table) -> pa.Table:
 FIELDS = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def ppm_scores(docs: DataFrame, train: str, text: str = "text", order: int = ORDER,
-               cutoff: float = CUTOFF) -> DataFrame:
+def ppm_scores(docs: DataFrame, train: str, text: str = "text", order: int = ORDER) -> DataFrame:
     """``docs`` with ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
 
     ``train``, a SQL condition, says which rows are learnt from (null: not); all are scored.
@@ -286,58 +300,79 @@ def ppm_scores(docs: DataFrame, train: str, text: str = "text", order: int = ORD
     """
     names = [f.split()[0] for f in FIELDS.split(", ")]
     base = without(docs, names).withColumn("_train", F.coalesce(F.expr(train), F.lit(False)))
-    taught = base.where("_train")
-    grams = written(gram_counts(taught.select(F.col(text).alias("text")), order), "grams")
-    model = trie_entries(grams, order, cutoff).toPandas()
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (model.depth.to_numpy(np.int8), model.gram.to_numpy(np.int64), model.n.to_numpy(np.int64),
-         order))
-    label = uuid.uuid4().hex
-
+    ends = base.where("_train").count()
     slices = slice_count(base, text)
     shards = -(-slices // SLICES_PER_SHARD)
     sliced = base.withColumn("_text", F.col(text)).withColumn("_slice", slice_of(base, slices)) \
         .drop(text).repartition(slices, "_slice")
-    counted = sliced.mapInArrow(_word_counts(shards),
-                                "shard int, _slice int, hashes binary, counts binary")
-    replies = written(counted.groupBy("shard").applyInArrow(
+    asked = written(sliced.select("_slice", "_train", "_text").mapInArrow(
+        _requests(shards, order),
+        "kind int, shard int, _slice int, hashes binary, counts binary"), "asked")
+
+    words = written(asked.where(F.col("kind") == WORDS).groupBy("shard").applyInArrow(
         _total_counts, "_slice int, shard int, totals binary, kinds long, words long"), "counts")
-    kinds, words = replies.agg(F.sum("kinds"), F.sum("words")).first()
-    ends = taught.count()
-    tokens, kinds = int(words or 0) + ends, int(kinds or 0) + (ends > 0)
+    kinds, total = words.agg(F.sum("kinds"), F.sum("words")).first()
+    tokens, kinds = int(total or 0) + ends, int(kinds or 0) + (ends > 0)
     below = float(np.log10(tokens + kinds + 1))
+
+    asked_grams = asked.where(F.col("kind") == GRAMS).select("shard", "_slice", "hashes", "counts")
+    coded = _coded(asked_grams, order)
+    bits = asked_grams.drop("counts").groupBy("shard").cogroup(coded.groupBy("shard")) \
+        .applyInArrow(_gram_replies, "kind int, shard int, _slice int, totals binary")
+    replies = bits.unionByName(words.where("_slice >= 0").select(
+        F.lit(WORDS).alias("kind"), "shard", "_slice", "totals"))
     columns = [c for c in base.columns if c != "_train"]
     schema = extended(base.select(*[f"`{c}`" for c in columns]).schema, FIELDS)
 
-    def score(documents: pa.Table, totals: pa.Table) -> pa.Table:
-        trie = _trie(label, shared)
+    def score(documents: pa.Table, told: pa.Table) -> pa.Table:
         held = documents.column("_text").combine_chunks()
         held = held.chunk(0) if isinstance(held, pa.ChunkedArray) else held
-        per, every = [], []
+        seen, every = [], []
+        for _, _, texts in chunks(held, TEXT_AT_ONCE):
+            seen.append(np.unique(byte_grams(texts, order)[0]))
+            every.append(np.unique(hashed_runs(texts, NOT_SPACE)[0]))
+        grams = _known(seen, GRAMS, lambda k: _gram_shard(k, shards), told, "<f4")
+        known = _known(every, WORDS, lambda k: _shard_of(k, shards), told, "<u8")
+        made = []
         for _, _, texts in chunks(held, TEXT_AT_ONCE):
+            n = len(texts)
             found, owner = byte_grams(texts, order)
-            bits = np.bincount(owner, trie.log10(found), len(texts))
+            log10 = np.bincount(owner, grams(found), n)
             hashes, where = hashed_runs(texts, NOT_SPACE)
-            every.append(hashes)
-            per.append((len(texts), where, bits))
-        keys, at = np.unique(np.concatenate(every) if every else np.zeros(0, np.uint64),
-                             return_inverse=True)
-        shard, known = _shard_of(keys, shards), np.zeros(len(keys), np.int64)
-        for d, t in zip(totals.column("shard").to_pylist(), totals.column("totals").to_pylist()):
-            known[shard == d] = np.frombuffer(t, "<u8")
-        c, lo, made = known[at], 0, []
-        for n, where, bits in per:
-            mine = c[lo:lo + len(where)]
-            lo += len(where)
+            mine = known(hashes)
             n_tokens = np.bincount(where, minlength=n) + 1
             base_score = np.bincount(where, np.log10(mine + 1.0), n) + np.log10(ends + 1.0) \
                 - n_tokens * below
             made.append((n_tokens, np.bincount(where, mine > 0, n).astype(np.int64) + (ends > 0),
-                         np.full(n, tokens), base_score, bits))
+                         np.full(n, tokens), base_score, log10))
         arrays = [pa.array(np.concatenate(x)) for x in zip(*made)]
         return pa.table([documents.column("_text" if n == text else n) for n in columns] + arrays,
                         names=columns + names)
 
-    return sliced.groupBy("_slice").cogroup(
-        replies.where("_slice >= 0").select("_slice", "shard", "totals").groupBy("_slice")) \
-        .applyInArrow(score, schema)
+    return sliced.groupBy("_slice").cogroup(replies.groupBy("_slice")).applyInArrow(score, schema)
+
+
+def _coded(asked: DataFrame, order: int) -> DataFrame:
+    """(shard, gram, bits) of all grams asked for."""
+    counted = written(asked.groupBy("shard").applyInArrow(
+        _gram_totals, "shard int, gram long, n long"), "grams")
+    low = F.col("gram").bitwiseAND(F.lit((1 << 8 * (min(SHORT, order) + 1)) - 1))
+    short = counted.where("n > 0").groupBy(low.alias("gram")).agg(F.sum("n").alias("n")).toPandas()
+    held = counted.sparkSession.sparkContext.broadcast(
+        (short.gram.to_numpy(np.int64).view(np.uint64), short.n.to_numpy(np.int64)))
+    parts = max(1, -(-counted.count() // PART_GRAMS))
+    ending = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * (SHORT + 1)) - 1))
+    return counted.withColumn("part", F.pmod(F.xxhash64(ending), F.lit(parts))) \
+        .groupBy("part").applyInArrow(lambda part: code_lengths(held.value, order)(part),
+                                      "shard int, gram long, bits float")
+
+
+def _known(parts: list, kind: int, shard_of, told: pa.Table, number: str):
+    """A lookup of what the shards answered for the distinct keys of a slice."""
+    keys = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+    shard, values = shard_of(keys), np.zeros(len(keys), number)
+    for k, d, t in zip(*[told.column(c).to_pylist() for c in ("kind", "shard", "totals")]):
+        if k == kind:
+            values[shard == d] = np.frombuffer(t, number)
+    index = HashIndex(keys)
+    return lambda asked: values[index.find(asked)]
