@@ -327,24 +327,23 @@ def ppm_scores(docs: DataFrame, train: str, text: str = "text", order: int = ORD
     def score(documents: pa.Table, told: pa.Table) -> pa.Table:
         held = documents.column("_text").combine_chunks()
         held = held.chunk(0) if isinstance(held, pa.ChunkedArray) else held
-        seen, every = [], []
+        seen = []
         for _, _, texts in chunks(held, TEXT_AT_ONCE):
-            seen.append(np.unique(byte_grams(texts, order)[0]))
-            every.append(np.unique(hashed_runs(texts, NOT_SPACE)[0]))
-        grams = _known(seen, GRAMS, lambda k: _gram_shard(k, shards), told, "<f4")
-        known = _known(every, WORDS, lambda k: _shard_of(k, shards), told, "<u8")
+            seen.append((len(texts), _spelt(*byte_grams(texts, order), len(texts)),
+                         _spelt(*hashed_runs(texts, NOT_SPACE), len(texts))))
+        log10 = _known([g[0] for _, g, _ in seen], GRAMS, lambda k: _gram_shard(k, shards), told,
+                       "<f4")
+        known = _known([w[0] for _, _, w in seen], WORDS, lambda k: _shard_of(k, shards), told,
+                       "<u8")
         made = []
-        for _, _, texts in chunks(held, TEXT_AT_ONCE):
-            n = len(texts)
-            found, owner = byte_grams(texts, order)
-            log10 = np.bincount(owner, grams(found), n)
-            hashes, where = hashed_runs(texts, NOT_SPACE)
-            mine = known(hashes)
-            n_tokens = np.bincount(where, minlength=n) + 1
+        for n, (grams, at, sizes), (hashes, word_at, words) in seen:
+            bits = np.bincount(np.repeat(np.arange(n), sizes), log10(grams)[at], n)
+            mine, where = known(hashes)[word_at], np.repeat(np.arange(n), words)
+            n_tokens = words + 1
             base_score = np.bincount(where, np.log10(mine + 1.0), n) + np.log10(ends + 1.0) \
                 - n_tokens * below
             made.append((n_tokens, np.bincount(where, mine > 0, n).astype(np.int64) + (ends > 0),
-                         np.full(n, tokens), base_score, log10))
+                         np.full(n, tokens), base_score, bits))
         arrays = [pa.array(np.concatenate(x)) for x in zip(*made)]
         return pa.table([documents.column("_text" if n == text else n) for n in columns] + arrays,
                         names=columns + names)
@@ -367,12 +366,18 @@ def _coded(asked: DataFrame, order: int) -> DataFrame:
                                       "shard int, gram long, bits float")
 
 
+def _spelt(keys: np.ndarray, owner: np.ndarray, n: int):
+    """(distinct keys, ascending; where each key is among them; keys of each text)."""
+    distinct, at = np.unique(keys, return_inverse=True)
+    return distinct, at.astype(np.int32), np.bincount(owner, minlength=n)
+
+
 def _known(parts: list, kind: int, shard_of, told: pa.Table, number: str):
     """A lookup of what the shards answered for the distinct keys of a slice."""
-    keys = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+    keys = np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+    keys = keys[np.r_[True, keys[1:] != keys[:-1]]] if len(keys) else keys
     shard, values = shard_of(keys), np.zeros(len(keys), number)
     for k, d, t in zip(*[told.column(c).to_pylist() for c in ("kind", "shard", "totals")]):
         if k == kind:
             values[shard == d] = np.frombuffer(t, number)
-    index = HashIndex(keys)
-    return lambda asked: values[index.find(asked)]
+    return lambda distinct: values[np.searchsorted(keys, distinct)]
