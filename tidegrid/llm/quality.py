@@ -1,7 +1,7 @@
 """Quality rules: compression bands.
 
 Repetitive text compresses far better than prose, noise far worse.  The zstandard ratio of the
-whole document and of each chunk of fixed size is held against a band that depends on the
+whole document and of each chunk (4096 bytes, the last up to twice that) is held against a band that depends on the
 length compressed, as short texts compress less.
 """
 
@@ -74,6 +74,15 @@ def duplicate_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
+def chunked(raw: bytes) -> list[bytes]:
+    """Chunks of a text longer than one; what is left over belongs to the last.
+
+    A few bytes on their own are mostly frame and would lie below every band.
+    """
+    starts = range(0, len(raw) - CHUNK + 1, CHUNK) if len(raw) > CHUNK else []
+    return [raw[i:i + CHUNK if i + 2 * CHUNK <= len(raw) else None] for i in starts]
+
+
 def measure(text: str | None, pack: zstandard.ZstdCompressor, bands=BANDS) -> tuple:
     """The values of ``FIELDS`` for one text."""
     text = text or ""
@@ -87,7 +96,7 @@ def measure(text: str | None, pack: zstandard.ZstdCompressor, bands=BANDS) -> tu
     failed = n < MIN_WORDS or 100 * repeats > MAX_REPEAT_PERCENT * n
     ratio = len(raw) / len(pack.compress(raw))
     band = band_of(len(raw), bands)
-    pieces = [raw[i:i + CHUNK] for i in range(0, len(raw), CHUNK)] if len(raw) > CHUNK else []
+    pieces = chunked(raw)
     bad = 0
     for piece in pieces:
         limits = band_of(len(piece), bands)
