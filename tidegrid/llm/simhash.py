@@ -182,20 +182,17 @@ def near_groups(docs: DataFrame, key: str = "doc_id", max_bits: int = 3) -> Data
     docs = without(docs, ["component_id"])
     distinct = written(docs.groupBy("fingerprint").agg(F.min(key).cast("long").alias("least")),
                        "prints")
-    # a fingerprint whose keys are all null still links others: it gets a node of its own,
-    # above all keys, that no id is taken from
-    node = distinct.withColumn("node", F.coalesce("least", F.lit(1 << 62) + F.xxhash64(
-        "fingerprint").bitwiseAND((1 << 61) - 1)))
+    # fingerprints are the nodes: a key may come with several of them, which are not links
+    node = distinct.withColumn("node", F.col("fingerprint"))
     spread = node.select("fingerprint", "node").mapInArrow(
         _replicate, "anchor long, fingerprint long, node long, home boolean")
     links = spread.repartition("anchor").sortWithinPartitions("anchor") \
         .mapInArrow(_compare(max_bits), "a long, b long")
     roots = components(links)
     found = node.join(roots, "node", "left").select(
-        F.col("fingerprint").alias("_print"),
-        F.coalesce("root", "node").alias("_root"))
-    found = found.select("_print", F.when(F.col("_root") < (1 << 62), F.col("_root"))
-                         .alias("component_id"))
+        F.col("fingerprint").alias("_print"), F.coalesce("root", "node").alias("_root"), "least")
+    ids = found.groupBy("_root").agg(F.min("least").alias("component_id"))
+    found = found.join(ids, "_root").select("_print", "component_id")
     return docs.join(found, F.col("fingerprint") == F.col("_print")).drop("_print")
 
 
