@@ -64,6 +64,21 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in clash])
 
 
+def shielded(df: DataFrame, keep: Iterable[str]) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """``df`` with all columns but ``keep`` under names that no operator uses, and the way back.
+
+    Columns of the input called like those that an operator adds come through it unharmed.
+    """
+    keep = {n.lower() for n in keep}
+    names = [(c if c.lower() in keep else f"c{i}__", c) for i, c in enumerate(df.columns)]
+    return df.select(*[F.col(f"`{c}`").alias(n) for n, c in names]), names
+
+
+def unshielded(df: DataFrame, names: list[tuple[str, str]]) -> DataFrame:
+    """The columns of :func:`shielded` under their own names, without what was added since."""
+    return df.select(*[F.col(n).alias(c) for n, c in names])
+
+
 def extended(schema: T.StructType, fields: str) -> T.StructType:
     return T.StructType(list(schema.fields) + list(T._parse_datatype_string(fields).fields))
 
@@ -80,12 +95,13 @@ def chunks(texts: pa.Array, chars: int = CHUNK_CHARS) -> Iterator[tuple[int, int
         start = stop
 
 
-def map_texts(df: DataFrame, text: str, fields: str,
-              make: Callable[[], Callable[[list], dict[str, object]]]) -> DataFrame:
+def map_texts(df: DataFrame, text: str, fields: str, make: Callable[[], Callable],
+              *keys: str | None) -> DataFrame:
     """``df`` with columns ``fields`` that a Python function computes from the texts.
 
     ``make`` runs once per task and returns a function from a list of texts (or None) to a
-    list or array for each new column.  All columns of ``df`` pass through as Arrow, untouched.
+    list or array for each new column; lists of the columns ``keys`` (None for no column) come
+    before the texts.  All columns of ``df`` pass through as Arrow, untouched.
     """
     names = T._parse_datatype_string(fields).fieldNames()
     base = without(df, names)
@@ -97,7 +113,9 @@ def map_texts(df: DataFrame, text: str, fields: str,
             at = batch.schema.get_field_index(text)
             for lo, hi, texts in chunks(batch.column(at)):
                 part = batch.slice(lo, hi - lo)
-                new = work(texts)
+                others = [k and part.column(part.schema.get_field_index(k)).to_pylist()
+                          for k in keys]
+                new = work(*others, texts)
                 yield pa.RecordBatch.from_arrays(
                     list(part.columns) + [pa.array(new[n]) for n in names],
                     names=list(part.schema.names) + names)
@@ -129,17 +147,19 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def hashed_runs(texts: list, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def hashed_runs(texts: list, inside: np.ndarray,
+                lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every run of bytes marked in ``inside``, and the text that each is in.
 
-    A-Z are lower-cased.  The hash is that of the run alone: the difference of two prefix sums,
+    A-Z are lower-cased (unless told otherwise).  The hash is that of the run alone: the difference of two prefix sums,
     moved back to position 0.
     """
     raw = [(t or "").encode() for t in texts]
     if not raw:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     ends = np.cumsum([len(r) + 1 for r in raw])
-    data = LOWER[np.frombuffer(b" ".join(raw) + b" ", np.uint8)]
+    data = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
+    data = LOWER[data] if lower else data
     marked = np.zeros(len(data) + 1, bool)
     marked[1:] = inside[data]
     change = np.flatnonzero(marked[1:] != marked[:-1])

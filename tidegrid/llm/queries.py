@@ -133,3 +133,10 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidegrid.llm.mtree import top_k
     return top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrid.llm.periods import periodic_runs
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic_runs(docs, key="doc_id").drop("text")

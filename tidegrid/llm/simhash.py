@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import map_texts, without, written
+from tidegrid.llm.common import map_texts, shielded, unshielded, without, written
 from tidegrid.llm.components import components
 
 BLOCK = 31
@@ -168,34 +168,59 @@ def _compare(max_bits: int):
     return run
 
 
+def print_roots(prints: DataFrame, max_bits: int) -> DataFrame:
+    """(fingerprint, root) of distinct ``prints``: root is the same for all that links join.
+
+    Fingerprints are the nodes: a key may come with several of them, and that is no link.
+    """
+    if not 0 <= max_bits <= 3:
+        raise ValueError("the covering is exact for 0 to 3 bits")
+    node = prints.select("fingerprint", F.col("fingerprint").alias("node"))
+    spread = node.mapInArrow(_replicate, "anchor long, fingerprint long, node long, home boolean")
+    links = spread.repartition("anchor").sortWithinPartitions("anchor") \
+        .mapInArrow(_compare(max_bits), "a long, b long")
+    return node.join(components(links), "node", "left") \
+        .select("fingerprint", F.coalesce("root", "node").alias("root"))
+
+
 def near_groups(docs: DataFrame, key: str = "doc_id", max_bits: int = 3) -> DataFrame:
     """``docs`` (with ``fingerprint``, see :func:`fingerprints`) with ``component_id``.
 
     Rows link when their fingerprints differ in at most ``max_bits`` (0 to 3) bits;
     ``component_id`` is the smallest ``key`` that can be reached over links.  Copies have one
     fingerprint and are compared once.  Null keys are never an id: a component of null keys
-    alone has a null id.  Repeated rows keep their place.  A column named ``component_id`` is
-    replaced.
+    alone has a null id.  Repeated rows keep their place, an empty table gives an empty one, and
+    long texts are nothing special here.  A column named ``component_id`` is replaced.
     """
-    if not 0 <= max_bits <= 3:
-        raise ValueError("the covering is exact for 0 to 3 bits")
     docs = without(docs, ["component_id"])
     distinct = written(docs.groupBy("fingerprint").agg(F.min(key).cast("long").alias("least")),
                        "prints")
-    # fingerprints are the nodes: a key may come with several of them, which are not links
-    node = distinct.withColumn("node", F.col("fingerprint"))
-    spread = node.select("fingerprint", "node").mapInArrow(
-        _replicate, "anchor long, fingerprint long, node long, home boolean")
-    links = spread.repartition("anchor").sortWithinPartitions("anchor") \
-        .mapInArrow(_compare(max_bits), "a long, b long")
-    roots = components(links)
-    found = node.join(roots, "node", "left").select(
-        F.col("fingerprint").alias("_print"), F.coalesce("root", "node").alias("_root"), "least")
+    roots = print_roots(distinct, max_bits)
+    found = distinct.join(roots, "fingerprint").select(
+        F.col("fingerprint").alias("_print"), F.col("root").alias("_root"), "least")
     ids = found.groupBy("_root").agg(F.min("least").alias("component_id"))
     found = found.join(ids, "_root").select("_print", "component_id")
     return docs.join(found, F.col("fingerprint") == F.col("_print")).drop("_print")
 
 
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3,
+                max_bits: int = 3) -> DataFrame:
+    """One row of ``docs`` for each group of linked fingerprints: that of the smallest ``key``.
+
+    Of several rows with that key one stays; a row with a null key stays only where its group has
+    no key.  All columns of ``docs`` come back as they were, whatever their names.
+    """
+    inner, names = shielded(docs, (key, text))
+    printed = written(fingerprints(inner, text, shingle)
+                      .withColumn("_row", F.monotonically_increasing_id()), "simhash")
+    best = F.min(F.struct(F.col(key).isNull().alias("no"), F.col(key).alias("id"),
+                          F.col("_row").alias("row"))).alias("best")
+    distinct = written(printed.groupBy("fingerprint").agg(best), "prints")
+    chosen = distinct.join(print_roots(distinct, max_bits), "fingerprint") \
+        .groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias("_row"))
+    return unshielded(printed.join(chosen, "_row", "left_semi"), names)
+
+
 def hex_print(column: str = "fingerprint"):
     """The fingerprint as 16 lower-case hex digits."""
     return F.lower(F.lpad(F.hex(column), 16, "0"))
