@@ -10,37 +10,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import table, written
+from tidegrid.llm.common import shielded, table, unshielded, written
 from tidegrid.llm.line_dedup import drop_frequent_lines
 from tidegrid.llm.packing import pack
 from tidegrid.llm.quality import compression_bands
-from tidegrid.llm.similar import one_of_each
+from tidegrid.llm.simhash import one_of_each
 from tidegrid.llm.toxicity import toxicity
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps what scores below 0.5 under weights learnt from all labels."""
-    return toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 0") \
-        .select(*docs.columns)
+    inner, names = shielded(docs, ("doc_id", "text"))
+    return unshielded(toxicity(inner, table(spark, sf_dir, "labels")).where("predicted = 0"), names)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps what passes the base rules and the compression bands."""
-    return compression_bands(docs).where("kept").select(*docs.columns)
+    inner, names = shielded(docs, ("doc_id", "text"))
+    return unshielded(compression_bands(inner).where("kept"), names)
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rewrites texts without the lines found in 10 or more documents; n_chars follows."""
-    return drop_frequent_lines(docs, min_docs=10) \
-        .withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    inner, names = shielded(docs, ("doc_id", "text"))
+    rewritten = unshielded(drop_frequent_lines(inner, min_docs=10), names)
+    return rewritten.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps, of documents linked by a five-word Jaccard similarity of 0.8 or more, one row.
-
-    It is that of the smallest id; a row with a null id stays only where its group has no id.
-    """
-    return one_of_each(docs, size=5, least=0.8).select(*docs.columns)
+    """Keeps, of documents linked by SimHash (three-word shingles, 3 bits), the smallest id's row."""
+    return one_of_each(docs, shingle=3, max_bits=3)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
