@@ -140,3 +140,40 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidegrid.llm.periods import periodic_runs
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return periodic_runs(docs, key="doc_id").drop("text")
+
+
+@query("op12_decontamination", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, len(x) AS n, array_to_string(x, ' ') AS g FROM (
+    SELECT item_id, unnest(CASE WHEN len(w) < 10 THEN [w]
+                           ELSE list_transform(range(1, len(w) - 8), lambda k: w[k:k+9]) END) AS x
+    FROM i WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+grams AS (
+  SELECT r, n, k, array_to_string(w[k:k+n-1], ' ') AS g FROM (
+    SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS k FROM d, sizes WHERE len(w) >= n)),
+hit AS (SELECT r, n, k, g FROM grams WHERE g IN (SELECT g FROM win)),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS p FROM hit)
+          GROUP BY r),
+ids AS (SELECT r, count(DISTINCT item_id) AS n_items,
+               string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+        FROM hit JOIN win USING (g) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN ids USING (r)
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrid.llm.postings import decontaminate
+    found = decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                          table(spark, sf_dir, "benchmark").select("item_id", "text"), window=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
