@@ -177,3 +177,85 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op11_conversation_repair", r"""
+WITH RECURSIVE
+crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')) AS k
+  FROM conversations),
+kinds AS (
+  SELECT keyed.*, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(k, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1]))) % 20 AS kind
+  FROM keyed, crc_table),
+damaged AS (
+  SELECT conv_id AS conv, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM kinds WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, md5(text), copy) AS pos,
+         left(role, 1) AS ini
+  FROM damaged),
+faulty AS (
+  SELECT *, lag(ini) OVER (PARTITION BY conv ORDER BY pos) AS back,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY pos) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated'
+              ELSE '' END AS fault
+  FROM placed),
+facts AS (
+  SELECT conv, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE fault = 'blank') AS blank,
+         count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE pos > 1 AND concat(back, ini) NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv),
+-- states: 0 nothing, 1 system, 2 user, 3 assistant; insertions from one state to another
+inserts(s, ins, t, lines) AS (VALUES
+  (0, '', 0, ''), (1, '', 1, ''), (2, '', 2, ''), (3, '', 3, ''),
+  (0, 'I', 2, chr(10) || 'user:'), (1, 'I', 2, chr(10) || 'user:'), (3, 'I', 2, chr(10) || 'user:'),
+  (2, 'I', 3, chr(10) || 'assistant:'),
+  (0, 'II', 3, chr(10) || 'user:' || chr(10) || 'assistant:'),
+  (1, 'II', 3, chr(10) || 'user:' || chr(10) || 'assistant:')),
+moves(op, cost, s, ini, t, as_role) AS (VALUES
+  ('D', 3, 0, NULL, 0, NULL), ('D', 3, 1, NULL, 1, NULL), ('D', 3, 2, NULL, 2, NULL),
+  ('D', 3, 3, NULL, 3, NULL), ('K', 0, 0, 's', 1, NULL), ('K', 0, 0, 'u', 2, NULL),
+  ('K', 0, 1, 'u', 2, NULL), ('K', 0, 3, 'u', 2, NULL), ('K', 0, 2, 'a', 3, NULL),
+  ('R', 2, 0, NULL, 2, 'user'), ('R', 2, 1, NULL, 2, 'user'), ('R', 2, 3, NULL, 2, 'user'),
+  ('R', 2, 2, NULL, 3, 'assistant')),
+edits(conv, pos, state, best) AS (
+  SELECT conv, CAST(0 AS BIGINT), 0, {'c': CAST(0 AS BIGINT), 'a': '', 'o': ''} FROM facts
+  UNION ALL
+  SELECT e.conv, f.pos, m.t,
+         min({'c': CAST(e.best.c + 2 * len(i.ins) + m.cost
+                        + CASE WHEN m.op <> 'D' AND f.fault = 'truncated' THEN 1 ELSE 0 END AS BIGINT),
+              'a': concat(e.best.a, i.ins, m.op),
+              'o': concat(e.best.o, i.lines, CASE WHEN m.op = 'D' THEN '' ELSE
+                          concat(chr(10), coalesce(m.as_role, f.role), ':', f.text) END)})
+  FROM edits e JOIN faulty f ON f.conv IS NOT DISTINCT FROM e.conv AND f.pos = e.pos + 1
+  JOIN inserts i ON i.s = e.state
+  JOIN moves m ON m.s = i.t AND (m.ini IS NULL OR m.ini = f.ini)
+       AND (m.op = 'D' OR f.fault NOT IN ('blank', 'duplicate'))
+  GROUP BY e.conv, f.pos, m.t),
+solved AS (
+  SELECT e.conv, min({'c': CAST(e.best.c + 2 * len(i.ins) AS BIGINT), 'a': concat(e.best.a, i.ins),
+                      'o': concat(e.best.o, i.lines)}) AS best
+  FROM edits e JOIN facts f ON f.conv IS NOT DISTINCT FROM e.conv AND f.n = e.pos
+  JOIN inserts i ON i.s = e.state WHERE i.t IN (0, 3) GROUP BY e.conv)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit,
+       sha256(coalesce(substr(best.o, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN facts f ON f.conv IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN solved s ON s.conv IS NOT DISTINCT FROM c.conv_id
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrid.llm.dialogues import repair
+    return repair(table(spark, sf_dir, "conversations"), damage=True)
