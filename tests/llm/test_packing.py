@@ -92,3 +92,23 @@ def test_odd_rows(spark):
     assert pack(df.limit(0)).count() == 0
     twice = pack(df.where("doc_id = 5").union(df.where("doc_id = 5")))
     assert twice.count() == 2 * pack(df.where("doc_id = 5")).count()
+
+
+def test_a_third_of_all_rows_equal(spark, monkeypatch):
+    from tidegrid.llm import packing
+    monkeypatch.setattr(packing, "GROUP_PIECES", 50)
+    monkeypatch.setattr(packing, "COPY_RUN", 16)
+    df = spark.createDataFrame([(1, "one and the same")] * 500 + [(i, f"text {i}") for i in range(2, 900)],
+                               "doc_id long, text string")
+    rows = pack(df).collect()
+    assert len(rows) == 500 + 898 and sum(r.doc_id == 1 for r in rows) == 500
+    groups = {r.sequence_id >> 32 for r in rows if r.doc_id == 1}
+    assert len(groups) > 20  # no group holds all copies
+    by_sequence = defaultdict(list)
+    for r in rows:
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+    for pieces in by_sequence.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length

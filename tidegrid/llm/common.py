@@ -141,18 +141,40 @@ STEP = 0x9E3779B97F4A7C15
 _BACK = pow(STEP, -1, 1 << 64)
 
 
+_KEPT_POWERS = 4_000_000
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
+    """1, base, base^2, ...; up to some length they are kept for the next call."""
+    if n <= len(_POWERS.get(base, ())):
+        return _POWERS[base][:n]
     out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    out[:1] = 1
+    out = np.cumprod(out, dtype=np.uint64)
+    if n <= _KEPT_POWERS:
+        _POWERS[base] = out
+    return out
+
+
+_BYTE_VALUES = mix64(np.arange(1, 257, dtype=np.uint64))
+
+
+def run_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """64-bit hash of each run of bytes ``data[start:stop]``, whatever stands around it.
+
+    It is the difference of two prefix sums, moved back to position 0.
+    """
+    values = _BYTE_VALUES[data] * _powers(STEP, len(data))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+    return mix64((total[stops] - total[starts]) * _powers(_BACK, len(data))[starts])
 
 
 def hashed_runs(texts: list, inside: np.ndarray,
                 lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every run of bytes marked in ``inside``, and the text that each is in.
 
-    A-Z are lower-cased (unless told otherwise).  The hash is that of the run alone: the difference of two prefix sums,
-    moved back to position 0.
+    A-Z are lower-cased, unless told otherwise.
     """
     raw = [(t or "").encode() for t in texts]
     if not raw:
@@ -164,7 +186,4 @@ def hashed_runs(texts: list, inside: np.ndarray,
     marked[1:] = inside[data]
     change = np.flatnonzero(marked[1:] != marked[:-1])
     starts, stops = change[::2], change[1::2]
-    values = mix64(np.arange(1, 257, dtype=np.uint64))[data] * _powers(STEP, len(data))
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
-    hashed = (total[stops] - total[starts]) * _powers(_BACK, len(data))[starts]
-    return mix64(hashed), np.searchsorted(ends, starts, "right")
+    return run_hashes(data, starts, stops), np.searchsorted(ends, starts, "right")

@@ -10,6 +10,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -17,19 +18,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidegrid.llm.common import chunks
+from tidegrid.llm.common import LOWER, chunks, run_hashes
 
 SEQUENCE = 4096
 END_ID = 2
 GROUP_PIECES = 4096
-CACHED_WORDS = 600_000
+COPY_RUN = 100_000
+CACHED_PARTS = 1_200_000
 
-# Words of these characters are in NFC already and lower-case the same way everywhere.
-_PLAIN = re.compile("[\n!-~À-ÖØ-öø-ÿ]*")
-# Fixed value: how the tokenizer's file splits words, said for the UTF-8 of those characters:
-# contractions, runs of letters, single digits, runs of anything else; here also line ends.
-_PRETOKEN = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|(?:[a-z]|\xc3[\x80-\xbf])+|[0-9]"
-                       rb"|[!-/:-@\[-`{-~]+|\n")
+# Texts of these characters are in NFC already and lower-case the same way everywhere.
+_PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
+# What a byte of a plain text is: white space, a letter (or part of one), a digit, anything else.
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+_KIND = np.array([_SPACE if b in b" \t\n\x0b\x0c\r" else _DIGIT if 0x30 <= b <= 0x39
+                  else _LETTER if 0x61 <= b <= 0x7A or b >= 0x80 else _OTHER for b in range(256)])
 
 
 def public_path(name: str) -> str:
@@ -37,13 +39,49 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def lowered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Plain texts as lower-case bytes, a space after each, and where each one ends."""
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    data = LOWER[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
+    # the two-byte letters from U+00C0 to U+00DE, apart from the multiplication sign
+    upper = (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97) & (data[:-1] == 0xC3)
+    data[1:][upper] += 0x20
+    return data, ends
+
+
+def pre_tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(from, to) of the tokenizer's pre-tokens in plain lower-case text.
+
+    They are runs of letters, single digits, runs of anything else, and after an apostrophe that
+    begins such a run the contractions 's 't 're 've 'm 'll 'd as one.
+    """
+    kind = np.zeros(len(data) + 4, np.int8)
+    kind[1:len(data) + 1] = _KIND[data]
+    begins = (kind[1:] != kind[:-1]) & (kind[1:] != _SPACE) | (kind[1:] == _DIGIT)
+    at = np.flatnonzero(begins[:len(data)] & (data == 0x27) & (kind[2:len(data) + 2] == _LETTER))
+    if len(at):
+        one, two = (np.append(data, [0, 0, 0]).astype(np.uint8)[at + k] for k in (1, 2))
+        short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+        pair = np.isin(one, np.frombuffer(b"rv", np.uint8)) & (two == ord("e")) \
+            | (one == ord("l")) & (two == ord("l"))
+        size = np.where(short, 2, np.where(pair, 3, 0))
+        at, size = at[size > 0], size[size > 0]
+        begins[at + 1] = False
+        begins[at + size] = kind[at + size + 1] != _SPACE
+    begins = begins[:len(data)]
+    starts = np.flatnonzero(begins)
+    inside = kind[1:len(data) + 1] != _SPACE
+    last = inside & np.append(begins[1:] | ~inside[1:], True)
+    return starts, np.flatnonzero(last) + 1
+
+
 class WordIds:
-    """Ids of words, each encoded once.
+    """Ids of the tokenizer's pre-tokens, each encoded once.
 
-    The tokenizer drops white space and never merges across it, so a text's ids are those of
-    its words in turn.  New words are split into the tokenizer's pre-tokens; unseen ones are
-    encoded many at a time, and fall apart again at the ids that end a word.  Words that the
-    split could treat differently (other scripts, special tokens) are encoded as they are.
+    The tokenizer drops white space and never merges across it or across pre-tokens, so a text's ids
+    are those of its pre-tokens in turn.  Unseen ones are encoded many at a time, and fall apart
+    again at the ids that end a word.  They are told apart by 64-bit hashes.  Texts that the split
+    could treat differently (other scripts, special tokens) go word by word, their own words whole.
     """
 
     def __init__(self, path: str):
@@ -54,73 +92,91 @@ class WordIds:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[bytes, int] = {}
+        self.number: dict[int, int] = {}
         self.flat, self.start = array("I"), array("q", [0])
 
-    def _put(self, words: list[bytes], ids, ends) -> None:
-        """New entries: their ids one after the other, and where each word's end."""
+    def _put(self, keys: list[int], ids, ends) -> None:
+        """New entries: their ids one after the other, and where each one's end."""
         base, n = len(self.flat), len(self.start) - 1
         self.flat.extend(ids)
         self.start.extend((np.asarray(ends, np.int64) + base).tolist())
-        self.number.update(zip(words, range(n, n + len(words))))
-
-    def _encode_alone(self, words: list[bytes]) -> None:
-        for word in words:
-            ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-            self._put([word], ids, [len(ids)])
+        self.number.update(zip(keys, range(n, n + len(keys))))
+
+    def _encode_alone(self, keys: list[int], parts: list[bytes]) -> None:
+        for key, part in zip(keys, parts):
+            ids = self.tokenizer.encode(part.decode(), add_special_tokens=False).ids
+            self._put([key], ids, [len(ids)])
+
+    def learn(self, keys: list[int], parts: list[bytes], plain: bool) -> None:
+        if not plain:
+            self._encode_alone(keys, parts)
+            return
+        for i in range(0, len(parts), 2000):
+            some = parts[i:i + 2000]
+            ids = self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False).ids
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                self._put(keys[i:i + 2000], ids, ends)
+            else:
+                self._encode_alone(keys[i:i + 2000], some)
 
     def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of entries ``at`` one after the other, and where each entry's end."""
-        start = np.array(self.start, np.int64)
+        start = np.frombuffer(self.start, np.int64)
         size = (start[1:] - start[:-1])[at]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        flat = np.array(self.flat, np.uint32)
+        if not total:
+            return np.zeros(0, np.uint32), ends
+        flat = np.frombuffer(self.flat, np.uint32)
         return flat[np.repeat(start[at] - ends + size, size) + np.arange(total)], ends
 
-    def learn(self, words: list[bytes]) -> None:
-        joined = b"\n".join(words).decode()
-        if not _PLAIN.fullmatch(joined) or "<|" in joined:
-            plain = [bool(_PLAIN.fullmatch(w.decode())) and b"<|" not in w for w in words]
-            self._encode_alone([w for w, p in zip(words, plain) if not p])
-            words = [w for w, p in zip(words, plain) if p]
-            joined = b"\n".join(words).decode()
-        parts = _PRETOKEN.findall(joined.lower().encode())
-        fresh = sorted(set(parts).difference(self.number, [b"\n"]))
-        for i in range(0, len(fresh), 2000):
-            some = fresh[i:i + 2000]
-            ids = self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False).ids
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(some) and ends[-1] == len(ids):
-                self._put(some, ids, ends)
+    def _ids(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray, salt: int,
+             plain: bool) -> tuple[np.ndarray, np.ndarray]:
+        hashed, first, which = np.unique(run_hashes(data, starts, stops) ^ np.uint64(salt),
+                                         return_index=True, return_inverse=True)
+        keys = hashed.tolist()
+        missing = [i for i, k in enumerate(keys) if k not in self.number]
+        if missing:
+            if len(self.number) + len(missing) > CACHED_PARTS:
+                self.clear()
+                missing = list(range(len(keys)))
+            raw = data.tobytes()
+            at = first[missing]
+            self.learn([keys[i] for i in missing],
+                       [raw[s:e] for s, e in zip(starts[at].tolist(), stops[at].tolist())], plain)
+        at = np.fromiter(map(self.number.__getitem__, keys), np.int64, len(keys))
+        return self._gather(at[which])
+
+    def _plain(self, texts: list[bytes]) -> list[np.ndarray]:
+        data, ends = lowered(texts)
+        starts, stops = pre_tokens(data)
+        ids, ids_end = self._ids(data, starts, stops, 0, True)
+        last = np.searchsorted(starts, ends)
+        return np.split(ids, np.r_[0, ids_end][last][:-1])
+
+    def _any(self, text: str) -> np.ndarray:
+        """A text word by word: runs of plain words together, others alone."""
+        out = []
+        for plain, words in groupby(text.encode().split(), lambda w: bool(
+                _PLAIN.fullmatch(w.decode())) and b"<|" not in w):
+            words = list(words)
+            if plain:
+                out += self._plain([b" ".join(words)])
             else:
-                self._encode_alone(some)
-        # words of several parts, or in other letters, from the entries of their parts
-        lines = np.array([p == b"\n" for p in parts])
-        word_of = np.cumsum(lines)[~lines] if len(parts) else np.zeros(0, np.int64)
-        at = np.fromiter((self.number[p] for p in parts if p != b"\n"), np.int64, len(word_of))
-        ids, ends = self._gather(at)
-        last = np.searchsorted(word_of, np.arange(len(words)), "right") - 1
-        new = [w not in self.number for w in words]
-        cuts = np.r_[0, ends[last]] if len(words) else np.zeros(1, np.int64)
-        take = np.repeat(np.array(new, bool), np.diff(cuts))
-        self._put([w for w, n in zip(words, new) if n], array("I", ids[take].tobytes()),
-                  np.cumsum(np.diff(cuts)[np.array(new, bool)]))
+                data = np.frombuffer(b" ".join(words), np.uint8)
+                stops = np.cumsum([len(w) + 1 for w in words]) - 1
+                out.append(self._ids(data, np.r_[0, stops[:-1] + 1], stops, 1, False)[0])
+        return np.concatenate(out) if out else np.zeros(0, np.uint32)
 
     def encode(self, texts: list) -> list[np.ndarray]:
         """The ids of each text; none for null, empty and blank texts."""
-        split = [(t or "").encode().split() for t in texts]
-        words = [w for s in split for w in s]
-        missing = set(words).difference(self.number)
-        if missing:
-            if len(self.number) + len(missing) > CACHED_WORDS:
-                self.clear()
-                missing = set(words)
-            self.learn(list(missing))
-        ids, ends = self._gather(np.fromiter(map(self.number.__getitem__, words), np.int64,
-                                             len(words)))
-        last = np.cumsum([len(s) for s in split]).astype(np.int64)
-        return np.split(ids, np.r_[0, ends][last][:-1])
+        texts = [t or "" for t in texts]
+        plain = [i for i, t in enumerate(texts) if _PLAIN.fullmatch(t) and "<|" not in t]
+        out: list = [None] * len(texts)
+        for i, ids in zip(plain, self._plain([texts[i].encode() for i in plain]) if plain else ()):
+            out[i] = ids
+        return [self._any(t) if ids is None else ids for t, ids in zip(texts, out)]
 
 
 # One per Python worker and file: workers live on from task to task.
@@ -198,16 +254,22 @@ def pack(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: st
     ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset`` in the sequence, and the ids
     themselves with ``with_ids``.  A document's tokens are its ids and one end id, so a null or
     empty text is one token.  A piece of 4096 tokens is a sequence of its own; rests of
-    documents are packed in groups of about 4096, dealt by a hash of the piece.  Repeated rows
-    and null keys are packed like any others; other columns of ``docs`` are left out.
+    documents are packed in groups of about 4096, dealt by a hash of the piece and, for repeated
+    rows, of the copy's number.  Null keys are packed like any others, an empty table gives an empty
+    one; other columns of ``docs`` are left out.
     """
     groups = max(1, -(-docs.count() // GROUP_PIECES))
     pieces = token_pieces(docs, path or public_path("word_bpe_49k.json"), key, text, with_ids)
-    # every row hashes by all that it is, so equal rows alone share a group by force
+    # equal rows are counted and numbered, in runs, so that they too are dealt evenly
+    names = pieces.columns
+    counted = pieces.groupBy(*[f"`{n}`" for n in names]).agg(F.count(F.lit(1)).alias("_copies"))
+    runs = counted.withColumn("_run", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(COPY_RUN).cast("long"))))
+    pieces = runs.withColumn("_copy", F.explode(F.sequence(
+        "_run", F.least(F.col("_run") + COPY_RUN, F.col("_copies")) - 1)))
     pieces = pieces.withColumn("_group", F.pmod(F.xxhash64(
-        key, "start", "length", "ids_crc32"), F.lit(groups)).cast("long"))
-    names = [c for c in pieces.columns if c != "_group"]
-    schema = ", ".join(f"`{n}` {t}" for n, t in pieces.select(*names).dtypes) \
+        key, "start", "length", "ids_crc32", "_copy"), F.lit(groups)).cast("long"))
+    schema = ", ".join(f"`{n}` {t}" for n, t in pieces.dtypes if n in names) \
         + ", sequence_id long, offset long"
 
     def fill(group: pa.Table) -> pa.Table:
@@ -219,4 +281,4 @@ def pack(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: st
             .append_column("sequence_id", pa.array([number << 32 | b for b in bins], pa.int64())) \
             .append_column("offset", pa.array(offsets, pa.int64()))
 
-    return pieces.groupBy("_group").applyInArrow(fill, schema)
+    return pieces.select(*[f"`{n}`" for n in names], "_group").groupBy("_group").applyInArrow(fill, schema)
