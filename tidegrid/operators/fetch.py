@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidegrid.functions.ids import fnv32a
 from tidegrid.functions.matchers import Matcher, MatchType, all_of, from_wire, to_tags
 from tidegrid.functions.times import (Duration, Moment, as_timedelta, from_millis, interval,
-                                      moment)
+                                      micros_of, moment, to_micros)
 from tidegrid.sources.points import SERIES, distinct_rows
 
 DEFAULT_LIMIT = 1000
@@ -211,6 +211,55 @@ def fetch_requests(points: DataFrame, requests: DataFrame) -> DataFrame:
                         & (F.col("ts") < F.col("range_end")))
 
 
+def fetch_binned(points: DataFrame, requests: DataFrame, width: Duration = "24h",
+                 rows_per_key: int = 1_000_000) -> DataFrame:
+    """As :func:`fetch_requests`, for many ranges of few series: an interval join over time bins.
+
+    Ranges are cut into the bins of ``width`` that they touch, and samples meet them by series and
+    bin, so a hot series is as many keys as it has bins.  A bin with more than ``rows_per_key``
+    samples is dealt over salts, and its requests are repeated once a salt; a bin asked for by
+    more than ``rows_per_key`` requests has these dealt, and its samples repeated.  Counting is
+    done by partial sums, and nothing is left out: overlaps give a sample once per request.
+    Ranges that are empty, or that have a null end, ask for nothing.
+    """
+    spaced = [c for c in ("namespace",) if c in requests.columns]
+    keys = [*spaced, "series_key"]
+    wanted = requests.select(*keys, "range_start", "range_end", "policy") \
+        .where(F.col("range_start") < F.col("range_end"))
+    size = micros_of(width)
+    last = F.col("range_end") - F.expr("INTERVAL '0.000001' SECOND")
+    wanted = wanted.withColumn("__bin", F.explode(F.sequence(
+        _bin(F.col("range_start"), size), _bin(last, size))))
+    placed = points.withColumn("__bin", _bin(F.col("ts"), size))
+
+    def heavy(rows: DataFrame, out: str) -> DataFrame:
+        """Bins with more rows than a key may have, and over how many salts to deal them."""
+        counted = rows.groupBy(*keys, "__bin").agg(F.count(F.lit(1)).alias("n"))
+        return counted.where(F.col("n") > rows_per_key).select(
+            *keys, "__bin", F.ceil(F.col("n") / rows_per_key).cast("int").alias(out))
+
+    hot = heavy(placed, "__many").join(heavy(wanted, "__asked"), [*keys, "__bin"], "full")
+
+    def salted(rows: DataFrame, deal: str, repeat: str, own: str, other: str) -> DataFrame:
+        plan = rows.join(hot, [*keys, "__bin"], "left")
+        at = F.pmod(F.xxhash64(*[c for c, kind in rows.dtypes if "map<" not in kind
+                                 and kind != "variant"]), F.coalesce(deal, F.lit(1))).cast("int")
+        return plan.withColumn(own, at).withColumn(other, F.explode(F.sequence(
+            F.lit(0), F.coalesce(repeat, F.lit(1)) - 1))).drop("__many", "__asked")
+
+    left = salted(placed, "__many", "__asked", "__row", "__request")
+    right = salted(wanted, "__asked", "__many", "__request", "__row")
+    joined = left.join(right, [*keys, "__bin", "__row", "__request"])
+    return joined.where((F.col("ts") >= F.col("range_start"))
+                        & (F.col("ts") < F.col("range_end"))) \
+        .select(*points.columns, "range_start", "range_end", "policy")
+
+
+def _bin(ts: Column, size: int) -> Column:
+    at = to_micros(ts)
+    return F.call_function("div", at - F.pmod(at, F.lit(size)), F.lit(size))
+
+
 def fetch_read_request(points: DataFrame, matchers: Iterable[tuple[int, str, str]],
                        start_ms: int, end_ms: int) -> DataFrame:
     """A read request as it comes in: wire matchers and epoch-millisecond bounds."""
