@@ -20,12 +20,13 @@ RUN = 10_000
 
 def regrid(points: DataFrame, start: Moment, step: Duration, tie: Sequence[str] = (),
            block: Duration = "24h", keys: Sequence[str] = SERIES,
-           slices: int | None = None) -> DataFrame:
+           slices: int | None = None, whole: bool = False) -> DataFrame:
     """The i-th sample of a series becomes step i, at ``start + i * step``; sample times
     are replaced.  ``tie`` orders samples of equal time, their other columns those equal in it
-    too.  A series is numbered block by block; ``slices`` is for blocks too long for a task."""
+    too.  A series is numbered block by block; ``slices`` is for blocks too long for a task,
+    ``whole`` for tables bucketed by series, which then need no shuffle."""
     placed = with_position(points, keys, ["ts", *tie], tumbling(F.col("ts"), block).start,
-                           out="step_idx", slices=slices)
+                           out="step_idx", slices=slices, whole=whole)
     return placed.withColumn("step_ts", step_time(F.col("step_idx"), start, step))
 
 
@@ -49,13 +50,14 @@ def fold(fn: str, value: Column, ts: Column) -> Column:
 
 def cell_aggregates(namespaces: Sequence[str], fn: str, value: Column,
                     ts: Column) -> list[Column]:
-    """One aggregate per namespace for :func:`cell_value`: its fold, its latest time, its
-    number of samples.  All of them share one shuffle, and run on streams."""
+    """One aggregate per namespace for :func:`cell_value`: its fold, its number of samples, and
+    for ``last`` its latest time.  All of them share one shuffle, and run on streams."""
     made = []
     for i, namespace in enumerate(namespaces):
         own = F.col("namespace") == namespace
         mine = F.when(own, value)
-        made.append(F.struct(F.count(mine).alias("n"), F.max(F.when(own, ts)).alias("ts"),
+        latest = [F.max(F.when(own, ts)).alias("ts")] if fn == "last" else []
+        made.append(F.struct(F.count(mine).alias("n"), *latest,
                              fold(fn, mine, ts).alias("value")).alias(f"_cell{i}"))
     return made
 

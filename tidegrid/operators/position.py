@@ -27,18 +27,28 @@ _BUCKET, _FIRST, _WEIGHT, _TOTAL = "__bucket", "__first", "__weight", "__total"
 
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
                   out: str = "position", weight: str | None = None,
-                  total_out: str | None = None, slices: int | None = None) -> DataFrame:
+                  total_out: str | None = None, slices: int | None = None,
+                  whole: bool = False) -> DataFrame:
     """Add ``out``: the weight (rows, by default) before each row of its key in ``order``.
 
     ``bucket`` must never fall while ``order`` rises, and be null where the first order column
     is.  Rows that ``order`` leaves equal follow by their other columns (maps apart); rows equal
     in these too are copies of each other.  ``total_out`` adds the whole weight of the key.
     Null keys form one key, as in ``groupBy``.  Nothing runs at call time, unless ``slices``
-    asks for that many balanced slices, which are written once.
+    asks for that many balanced slices, which are written once.  ``whole`` numbers each key in one
+    window: for a table bucketed by the keys, whose tasks hold whole keys anyhow, it needs no
+    shuffle.
     """
     rows = df.withColumn(_WEIGHT, F.col(weight).cast("bigint") if weight
                          else F.lit(1).cast("bigint"))
-    if slices:
+    if whole:
+        along = Window.partitionBy(*keys)
+        before = along.orderBy(*_full(rows, keys, order)) \
+            .rowsBetween(Window.unboundedPreceding, -1)
+        numbered = rows.withColumn(out, F.coalesce(F.sum(_WEIGHT).over(before), F.lit(0)))
+        if total_out:
+            numbered = numbered.withColumn(total_out, F.sum(_WEIGHT).over(along))
+    elif slices:
         numbered = _number_sliced(rows, keys, order, out, total_out, slices)
     else:
         cut = rows.withColumn(_BUCKET, bucket)

@@ -1,4 +1,4 @@
-"""Stored structures: tag index, binned ranges, mergeable sketches."""
+"""Stored structures: tag index, binned ranges, sketches, block and bucketed tables, pages."""
 
 from __future__ import annotations
 
@@ -8,10 +8,14 @@ from tidegrid.functions.matchers import eq, neq, re_match, re_not
 from tidegrid.operators import fetch as op
 from tidegrid.operators import sketches
 from tidegrid.operators.aggregate import at_steps
+from tidegrid.operators.grid import consolidate, regrid
 from tidegrid.plans.catalog.common import (END, EVENTS, LINES, SAMPLE_COLUMNS, START,
                                            between, bucket, fnv)
 from tidegrid.plans.registry import query
 from tidegrid.session import scratch_path
+from tidegrid.sinks import block_table
+from tidegrid.sinks.points import write_bucketed
+from tidegrid.sources.pages import read_pages, write_pages
 from tidegrid.sources.points import events_points, lineitem_points
 from tidegrid.sources.tag_index import write_tag_index
 
@@ -139,3 +143,71 @@ def sketch_series(spark, sf_dir):
     off = F.abs(F.col("guess") - F.col("n_series")) / F.col("n_series")
     return exact.join(merged, "name").select(
         "name", "n_series", (off <= 2 * sketches.COUNT_ERROR).alias("within"))
+
+
+def _block_table(spark, sf_dir):
+    path = scratch_path(spark, "blocks")
+    block_table.write_block_table(events_points(spark, sf_dir), path, "1h", "24h", "sum",
+                                  series_per_row=32, groups=16)
+    return block_table.read_block_table(spark, path)
+
+
+@query("q134_block_table_steps", f"""
+SELECT step_ts, count(*) AS n_values, round(sum(value), 6) AS value_sum FROM (
+  SELECT series_key, {bucket('1 hour')} AS step_ts, sum(value) AS value FROM {EVENTS}
+  GROUP BY ALL) GROUP BY ALL""")
+def block_table_steps(spark, sf_dir):
+    """A stored block table read by step."""
+    return block_table.blocks_by_step(_block_table(spark, sf_dir)) \
+        .withColumn("value_sum", F.round("value_sum", 6))
+
+
+@query("q135_block_table_series", f"""
+SELECT series_key, block_start, 3600000::BIGINT AS millis_per_step, 24::BIGINT AS n_values,
+       count(*) AS n_present, round(sum(value), 6) AS value_sum FROM (
+  SELECT series_key, {bucket('1 day')} AS block_start, {bucket('1 hour')} AS step_ts,
+         sum(value) AS value FROM {EVENTS} GROUP BY ALL) GROUP BY ALL""")
+def block_table_series(spark, sf_dir):
+    """The same rows read by series."""
+    real = F.filter("values", lambda v: ~F.isnan(v))
+    return block_table.blocks_by_series(_block_table(spark, sf_dir)).select(
+        "series_key", "block_start", "millis_per_step", F.size("values").cast("long").alias("n_values"),
+        F.size(real).cast("long").alias("n_present"),
+        F.round(F.aggregate(real, F.lit(0.0), lambda a, v: a + v), 6).alias("value_sum"))
+
+
+def _bucketed(spark, sf_dir):
+    path = scratch_path(spark, "bucketed")
+    table = "tidegrid_" + path.rsplit("-", 1)[-1]
+    write_bucketed(events_points(spark, sf_dir), table, path, buckets=8, keep=["event_id"])
+    return spark.table(table)
+
+
+@query("q136_bucketed_consolidate", f"""
+SELECT series_key, {bucket('1 hour')} AS step_ts, round(sum(value), 6) AS value
+FROM {EVENTS} GROUP BY ALL""")
+def bucketed_consolidate(spark, sf_dir):
+    """A fold over a table bucketed by series."""
+    return consolidate(_bucketed(spark, sf_dir), {"default": "1h"}, "sum") \
+        .select("series_key", "step_ts", F.round("value", 6).alias("value"))
+
+
+@query("q137_bucketed_regrid", f"""
+SELECT event_id, series_key, step_idx,
+       TIMESTAMP '2024-01-05' + to_minutes(step_idx::INTEGER) AS step_ts, value
+FROM (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY ts, event_id) - 1 AS step_idx
+      FROM {EVENTS})""")
+def bucketed_regrid(spark, sf_dir):
+    return regrid(_bucketed(spark, sf_dir), START, "1m", tie=["event_id"], whole=True) \
+        .select("event_id", "series_key", "step_idx", "step_ts", "value")
+
+
+@query("q140_paged_remote", f"""
+SELECT series_key, date_trunc('milliseconds', ts) AS ts, value::FLOAT::DOUBLE AS value FROM {EVENTS}
+WHERE date_trunc('milliseconds', ts) >= TIMESTAMP '2024-01-08'
+  AND date_trunc('milliseconds', ts) < TIMESTAMP '2024-01-11 06:00:00'""")
+def paged_remote(spark, sf_dir):
+    """Pages of another site, of which the bounds choose four of some thirty."""
+    root = scratch_path(spark, "pages")
+    write_pages(events_points(spark, sf_dir), root, "24h")
+    return read_pages(spark, root, "2024-01-08", "2024-01-11 06:00:00").select("series_key", "ts", "value")

@@ -18,10 +18,12 @@ from tidegrid.sources.points import events_points, lineitem_points, read_table
 
 
 def write_requests(spark, sf_dir):
-    """Events as write requests: one per series and day."""
+    """Events as write requests: of each series and day, rows of at most 1,000 samples."""
     sample = F.struct("value", to_millis(F.col("ts")).alias("timestamp"))
-    daily = read_table(spark, sf_dir, "events") \
-        .groupBy("event_type", "user_id", tumbling(F.col("ts"), "24h")) \
+    events = read_table(spark, sf_dir, "events").select("event_type", "user_id", "event_id", "ts", "value") \
+        .withColumn("day", tumbling(F.col("ts"), "24h").start)
+    daily = op.bounded_parts(events, ["event_type", "user_id", "day"], ["event_id"], 1000) \
+        .groupBy("event_type", "user_id", "day", "part") \
         .agg(F.collect_list(sample).alias("samples"))
     labels = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"))
                        for c in ("user_id", "event_type")])
@@ -155,7 +157,7 @@ GROUP BY ALL""")
 def result_json(spark, sf_dir):
     """A read result as JSON text, parsed back."""
     points = lineitem_points(spark, sf_dir)
-    grid = regrid(points, "1995-01-01", "1m", tie=["l_orderkey", "l_linenumber"], block="8760h")
+    grid = regrid(points, "1995-01-01", "1m", tie=["l_orderkey", "l_linenumber"], block="24h")
     texts = op.result_json(op.nest_series(grid, part_samples=200))
     back = texts.select(F.from_json("json", wire.WRITE_REQUEST).alias("r")).select("r.*")
     return wire.write_request_points(back).groupBy("series_key").agg(

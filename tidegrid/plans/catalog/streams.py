@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from tidegrid.plans.catalog.common import END, EVENTS, START, between, bucket
 from tidegrid.plans.catalog.records import write_requests
 from tidegrid.functions.matchers import re_match
-from tidegrid.functions.times import tumbling
 from tidegrid.operators.fetch import fetch
 from tidegrid.plans.registry import query
 from tidegrid.session import scratch_path
 from tidegrid.sinks.points import read_points, write_points
+from tidegrid.sinks.records import bounded_parts
 from tidegrid.sources.points import events_points, points_from, read_table
 from tidegrid.sources.stores import Store, StoreType, allow_all
-from tidegrid.sources.wire import write_messages
+from tidegrid.sources.wire import write_messages, write_request_points
 from tidegrid.streaming import ingest as op
+from tidegrid.streaming import rollup
 
 SETTINGS = op.NamespaceSettings.of("48h", "2h", "10m", "10m")
 HOURLY = op.NamespaceSettings.of("48h", "1h", "10m", "10m")
@@ -156,7 +157,8 @@ def stream_messages(spark, sf_dir):
     """Write messages of another site, with unit and annotation, appended to a points table."""
     root = scratch_path(spark, "messages")
     points = events_points(spark, sf_dir)
-    queries = points.groupBy("tags", tumbling(F.col("ts"), "24h")).agg(
+    parts = bounded_parts(points, ["series_key"], ["event_id"], 1000)
+    queries = parts.groupBy("tags", "part").agg(
         F.collect_list(F.struct("ts", "value")).alias("datapoints")).select(
         "tags", "datapoints", F.lit(2).alias("unit"),
         F.encode(F.col("tags")["event_type"], "UTF-8").alias("annotation"))
@@ -210,3 +212,47 @@ def stream_fanout(spark, sf_dir):
     return parts[0].unionByName(parts[1]).select("store", "event_id", "series_key", "ts", "value")
 
 
+
+
+@query("q139_stream_resent", f"""
+SELECT DISTINCT series_key, date_trunc('milliseconds', ts) AS ts, value FROM {EVENTS}""")
+def stream_resent(spark, sf_dir):
+    """A feed that is sent twice, file after file: each sample is in the table once."""
+    root = scratch_path(spark, "resent")
+    requests = write_requests(spark, sf_dir)
+    requests.coalesce(1).write.json(f"{root}/in")
+    requests.coalesce(1).write.mode("append").json(f"{root}/in")
+    points = op.once(write_request_points(op.request_stream(spark, f"{root}/in", max_files=1)), SETTINGS)
+    finished(op.ingest_points(points, f"{root}/points", f"{root}/checkpoint"))
+    return read_points(spark, f"{root}/points").select("series_key", "ts", "value")
+
+
+@query("q141_stream_known_series", f"""
+SELECT series_key, 1::BIGINT AS n_rows, count(*) AS n_samples FROM {EVENTS} GROUP BY ALL""")
+def stream_known_series(spark, sf_dir):
+    """Series seen as keyed state: each is in the series table once, its samples in the other."""
+    root = scratch_path(spark, "known")
+    write_requests(spark, sf_dir).repartition(3).write.json(f"{root}/in")
+    points = write_request_points(op.request_stream(spark, f"{root}/in", max_files=1))
+    for one in op.ingest_with_series(points, f"{root}/points", f"{root}/series", f"{root}/checkpoint"):
+        finished(one)
+    rows = read_points(spark, f"{root}/series").groupBy("series_key").agg(F.count(F.lit(1)).alias("n_rows"))
+    samples = read_points(spark, f"{root}/points").groupBy("series_key") \
+        .agg(F.count(F.lit(1)).alias("n_samples"))
+    return rows.join(samples, "series_key", "full")
+
+
+@query("q138_stream_rollup", f"""
+SELECT series_key, {bucket('6 hours')} AS ts, max(value) AS value FROM {EVENTS} GROUP BY ALL""")
+def stream_rollup(spark, sf_dir):
+    """Six-hour maxima kept beside the raw table while late samples come in."""
+    root = scratch_path(spark, "rollup")
+    points = points_from(read_table(spark, sf_dir, "events"), "events",
+                         {"event_type": "event_type", "user_id": "user_id"}, "ts", "value")
+    late = F.pmod(F.xxhash64("series_key", "ts"), F.lit(5)) == 0
+    points.where(~late).coalesce(1).write.parquet(f"{root}/in")
+    points.where(late).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    feed = spark.readStream.schema(points.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    finished(rollup.ingest_with_rollup(feed, f"{root}/raw", f"{root}/coarse", f"{root}/checkpoint",
+                                       "6h", "max", "6h"))
+    return read_points(spark, f"{root}/coarse").select("series_key", "ts", "value")

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from tidegrid.functions.ids import fnv32a, fnv32a_rows
 from tidegrid.functions.matchers import tag_column
 from tidegrid.operators.fetch import CUTS, cut_date, series_of
+from tidegrid.session import durable
 from tidegrid.sources.stores import Store, StoreFilter, filter_stores, local_only
 
+# Folds across namespaces group by these two, all others by these and more.
+BUCKET_KEYS = ["name", "series_key"]
 POINT_COLUMNS = ["namespace", "name", "series_key", "tags", "ts", "value"]
 
 
@@ -44,6 +47,21 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def write_bucketed(points: DataFrame, table: str, path: str, buckets: int = 64,
+                   promote: Sequence[str] = (), keep: Sequence[str] = (), mode: str = "error") -> None:
+    """Points as the catalogue table ``table`` at ``path``: bucketed by series, sorted by time.
+
+    Folds, regrids and joins by series over it need no shuffle.  A bucket is read by one task, so
+    take as many as make a bucket fit one; a table in which one series holds a large part is
+    better cut by date (:func:`write_points`).
+    """
+    rows = points.select(*POINT_COLUMNS, *keep,
+                         *[tag_column(t, points.columns).alias(f"tag_{t}") for t in promote])
+    rows.repartition(buckets, *BUCKET_KEYS).write.mode(mode).format("parquet") \
+        .bucketBy(buckets, *BUCKET_KEYS).sortBy(*BUCKET_KEYS, "ts") \
+        .option("path", path).saveAsTable(table)
+
+
 def write_series(points: DataFrame, path: str, mode: str = "overwrite") -> None:
     """The series dimension, with ids, next to a stored points table."""
     series = series_of(points)
@@ -70,10 +88,12 @@ def fanout_write(points: DataFrame, stores: Sequence[Store],
     """The same write to every accepted store, in order.  The first failure is raised;
     what was written before it stays.  Returns the labels written.
 
-    The points are computed once for each store: hand over a stored table where that is dear."""
+    For several stores the points are computed once, to the shared folder."""
     if points is None:
         raise ValueError("nothing to write: no points given")
     chosen = filter_stores(stores, accept)
+    if len(chosen) > 1:
+        points = durable(points)
     for store in chosen:
         write_points(points, store.path, promote)
     return [s.label for s in chosen]

@@ -41,6 +41,28 @@ def nest_result(points: DataFrame, start, step: Duration, tie: Sequence[str] = (
                        part_samples=part_samples)
 
 
+def bounded_parts(points: DataFrame, keys: Sequence[str], tie: Sequence[str] = (),
+                  max_samples: int = PART_SAMPLES, block: Duration = "24h") -> DataFrame:
+    """``points`` with ``part``: runs of at most ``max_samples`` samples of each of ``keys`` in time
+    order.  Gathering a part, not a key, makes rows that no hot key can fill."""
+    placed = with_position(points, keys, ["ts", *tie], tumbling(F.col("ts"), block).start,
+                           out="__place")
+    part = F.call_function("div", F.col("__place"), F.lit(max_samples))
+    return placed.withColumn("part", part).drop("__place")
+
+
+def write_requests_of(points: DataFrame, tie: Sequence[str] = (),
+                      max_samples: int = PART_SAMPLES) -> DataFrame:
+    """Points as write requests (labels, samples): a series goes on in further requests after
+    ``max_samples``, in time order."""
+    sample = F.struct(F.col("ts"), F.struct("value", to_millis(F.col("ts")).alias("timestamp"))
+                      .alias("s"))
+    parts = bounded_parts(points, SERIES, tie, max_samples).groupBy(*SERIES, "part").agg(
+        F.first("tags").alias("tags"), F.array_sort(F.collect_list(sample)).alias("cells"))
+    return parts.select(tags_to_labels(F.col("tags")).alias("labels"),
+                        F.col("cells.s").alias("samples"))
+
+
 def batches(requests: DataFrame, size: int, order: Sequence[str], bucket: Column,
             slices: int | None = None) -> DataFrame:
     """Write requests in groups of ``size`` by ``order``, the rest last: (batch_id,

@@ -135,7 +135,10 @@ def only_local(result: DataFrame) -> DataFrame:
 
 
 def append_pages(pages: Sequence[DataFrame]) -> DataFrame:
-    """Pages of one remote answer, one after another."""
+    """Pages of one remote answer, one after another; no pages give no points."""
+    if not pages:
+        return SparkSession.active().createDataFrame(
+            [], _FOUND + ", ts timestamp_ntz, value double")
     return _union(pages)
 
 

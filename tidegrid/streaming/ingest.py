@@ -4,11 +4,11 @@ consolidation."""
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -146,6 +146,40 @@ def ingest_points(points: DataFrame, path: str, checkpoint: str, promote: Sequen
     return _batches(points, write, checkpoint, trigger)
 
 
+def ingest_with_series(points: DataFrame, path: str, series: str, checkpoint: str,
+                       promote: Sequence[str] = (), keep: Sequence[str] = (),
+                       trigger: dict = ALL_THERE_IS) -> tuple[StreamingQuery, StreamingQuery]:
+    """As :func:`ingest_points` with ``series``, for feeds that go on for long.
+
+    The series seen are keyed state of a query of their own, so a batch looks up its own series and
+    never reads the series table: its cost does not grow with the table.  Returns (query of the
+    series, query of the points); a point may be there a moment before its series.
+    """
+    found = points.select(*SERIES, "tags").dropDuplicates(SERIES)
+
+    def write(batch: DataFrame, label: str) -> None:
+        batch.withColumn("series_id", fnv32a(F.col("series_key"))) \
+            .withColumn("batch_id", F.lit(label)).hint("rebalance") \
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("batch_id").parquet(series)
+    return (_batches(found, write, f"{checkpoint}/series", trigger),
+            ingest_points(points, path, f"{checkpoint}/points", promote, keep, trigger=trigger))
+
+
+def once(points: DataFrame, settings: NamespaceSettings,
+         keys: Sequence[str] = (*SERIES, "ts", "value")) -> DataFrame:
+    """A feed that may be sent again, each sample once.
+
+    A sample is known by ``keys``.  What was seen is kept as state for ``buffer_past`` behind the
+    newest sample; later samples are too late for the namespace and are left out, so a
+    message sent again after that brings nothing either.  Samples without a time are left out.
+    """
+    at = points.where(F.col("ts").isNotNull()) \
+        .withColumn("__at", F.timestamp_micros(to_micros(F.col("ts"))))
+    return at.withWatermark("__at", window_text(settings.buffer_past)) \
+        .dropDuplicatesWithinWatermark(list(keys)).drop("__at")
+
+
 def _batches(points: DataFrame, write, checkpoint: str, trigger: dict) -> StreamingQuery:
     """Runs ``write(batch, label)``; labels tell batches and feeds apart and are the same
     when a batch is run again."""
@@ -154,6 +188,17 @@ def _batches(points: DataFrame, write, checkpoint: str, trigger: dict) -> Stream
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+@contextmanager
+def _kept(batch: DataFrame) -> Iterator[DataFrame]:
+    """A batch that several tables take: computed once.  What a lost executor held is computed
+    again from the batch's offsets."""
+    kept = batch.persist()
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def _append(batch: DataFrame, path: str, label: str, promote: Sequence[str] = (),
             keep: Sequence[str] | None = None) -> None:
     """Adds a batch to a points table: cut by date first, then by batch; even, sorted files.
@@ -169,14 +214,19 @@ def _append(batch: DataFrame, path: str, label: str, promote: Sequence[str] = ()
         .partitionBy("block_date", "batch_id").parquet(path)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table has files; a table that cannot be read is an error, not a missing one."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(root) and any(
+        not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(root))
+
+
 def _append_series(batch: DataFrame, path: str, label: str) -> None:
     """Adds the series of a batch that no other batch has brought yet."""
     spark, found = batch.sparkSession, series_of(batch)
-    try:
+    if _exists(spark, path):
         known = spark.read.parquet(path).where(F.col("batch_id") != label)
-    except AnalysisException:  # the first batch: no table yet
-        known = None
-    if known is not None:
         found = found.join(known.select(*SERIES), SERIES, "left_anti")
     found.withColumn("series_id", fnv32a(F.col("series_key"))) \
         .withColumn("batch_id", F.lit(label)).hint("rebalance") \
@@ -198,9 +248,9 @@ def ingest_admitted(points: DataFrame, settings: NamespaceSettings, accepted: st
                     trigger: dict = ALL_THERE_IS) -> StreamingQuery:
     """Append admitted points to one table and the refused to another."""
     def write(batch: DataFrame, label: str) -> None:
-        # a batch is a fixed set of offsets: it is read again for the second table
-        for part, path in zip(admit(batch, settings, arrival), (accepted, refused)):
-            _append(part, path, label)
+        with _kept(batch) as rows:
+            for part, path in zip(admit(rows, settings, arrival), (accepted, refused)):
+                _append(part, path, label)
     return _batches(points, write, checkpoint, trigger)
 
 
@@ -211,8 +261,9 @@ def fanout_ingest(points: DataFrame, stores: Sequence[Store], checkpoint: str,
     chosen = filter_stores(stores, accept)
 
     def write(batch: DataFrame, label: str) -> None:
-        for store in chosen:
-            _append(batch, store.path, label)
+        with _kept(batch) as rows:
+            for store in chosen:
+                _append(rows, store.path, label)
     return _batches(points, write, checkpoint, trigger)
 
 
