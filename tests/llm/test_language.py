@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tidegrid.llm import queries
-from tidegrid.llm.language import STRETCH, Marginal, fit, marked_words, numbered, predict
+from tidegrid.llm.language import LONG, Marginal, fit, marked_words, numbered, predict
 from tidegrid.llm.packing import public_path
 
 MODEL = Marginal(public_path("piece_bpe_32k.model"))
@@ -37,6 +37,55 @@ def test_forward_sums_all_segmentations():
             assert math.isclose(got[k], math.log(want), rel_tol=1e-9)
 
 
+def summed(word, p):
+    """Log of the sum over all segmentations, position by position, in exact fractions."""
+    from fractions import Fraction
+    v = MODEL.vocabulary
+    single = set(v.byte_ids.tolist())
+    pieces = {q: i for i, q in enumerate(v.pieces) if q and i not in single}
+    longest = max(map(len, pieces))
+    total = [Fraction(1)] + [Fraction(0)] * len(word)
+    for end in range(1, len(word) + 1):
+        total[end] = total[end - 1] * Fraction(p[int(v.byte_ids[word[end - 1]])])
+        for n in range(1, min(longest, end) + 1):
+            i = pieces.get(word[end - n:end])
+            if i is not None:
+                total[end] += total[end - n] * Fraction(p[i])
+    whole = total[len(word)]
+    return math.log(whole.numerator) - math.log(whole.denominator)
+
+
+def test_long_words_are_summed_whole():
+    p = np.random.default_rng(7).dirichlet(np.ones(MODEL.size), 2).T
+    words = [("▁" + w).encode() for w in (
+        "donaudampfschifffahrtsgesellschaftskapitänsmützenabzeichen",
+        "ภาษาไทยเขียนโดยไม่เว้นวรรคระหว่างคำและยาวมาก", "これは空白のない長い日本語の文章です" * 6,
+        "x" * 500, "short", "y" * (LONG - 3), "y" * (LONG - 2))]
+    assert sum(len(w) > LONG for w in words) == 5
+    for word, got in zip(words, MODEL.log_p(words, p)):
+        for k in range(2):
+            assert math.isclose(got[k], summed(word, p[:, k]), rel_tol=1e-9)
+
+
+def test_expected_counts_in_logs():
+    p = np.random.default_rng(3).dirichlet(np.ones(MODEL.size))
+    counts = np.array([3.0, 1.0, 2.0])
+    words = WORDS[:2] + ["▁longer".encode()]
+    assert np.allclose(MODEL._expected_logs(words, counts, p[:, None]),
+                       MODEL._expected(words, counts, p[:, None]))
+
+
+def test_equal_rows_are_one_with_a_count(spark):
+    rows = [("the cat and the dog", "en")] * 3000 + [("the house by the sea", "en"),
+                                                     ("der hund und die katze", "de")]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    few = fit(df, F.lit(True), max_sample=100_000)
+    want = MODEL.learn(*(lambda w, a, o: (w, np.bincount(a, np.array([3000.0, 1.0])[o], len(w))))(
+        *numbered(["the cat and the dog", "the house by the sea"])))
+    got = {r.lang: np.frombuffer(r.p, "<f4") for r in few.collect()}
+    assert np.allclose(got["en"], want, rtol=1e-5) and set(got) == {"en", "de"}
+
+
 def test_expected_counts():
     p = np.random.default_rng(2).dirichlet(np.ones(MODEL.size))
     counts = np.array([3.0, 1.0])
@@ -54,7 +103,7 @@ def test_expected_counts():
 def test_words():
     assert marked_words(" Ab\ncd") == ["▁ab".encode(), "▁cd".encode()]
     long = marked_words("x" * 1000)
-    assert max(map(len, long)) == STRETCH and b"".join(long) == "▁".encode() + b"x" * 1000
+    assert long == ["▁".encode() + b"x" * 1000]
     words, at, owner = numbered(["a b", None, "b"])
     assert [words[i] for i in at] == ["▁a".encode(), "▁b".encode(), "▁b".encode()]
     assert owner.tolist() == [0, 0, 2]

@@ -8,6 +8,7 @@ Probabilities are learnt by expectation maximisation over the same lattice.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,11 @@ from tidegrid.llm.pieces import MARK, Lattice, Vocabulary
 MAX_SAMPLE = 1000
 ROUNDS = 4
 SMOOTHING = 0.1
-STRETCH = 40
+# Longer words are summed as logarithms: their probabilities leave the range of floats.
+LONG = 40
+LATTICE_BYTES = 500_000
 UNKNOWN = "und"
+MAX_LANGUAGES = 400
 
 
 class Marginal:
@@ -49,18 +53,36 @@ class Marginal:
                 alpha[lattice.start[lo:hi]] * weight[lo:hi], heads - lo, axis=0)
         return alpha
 
+    @staticmethod
+    def log_forward(lattice: Lattice, p: np.ndarray) -> np.ndarray:
+        """Logarithms of :meth:`forward`, for words of any length."""
+        alpha = np.full((lattice.nodes, p.shape[1]), -np.inf)
+        alpha[lattice.first] = 0
+        weight = np.log(p)[lattice.piece]
+        for lo, hi, heads in lattice.runs():
+            each = alpha[lattice.start[lo:hi]] + weight[lo:hi]
+            most = np.maximum.reduceat(each, heads - lo, axis=0)
+            size = np.diff(np.append(heads, hi))
+            total = np.add.reduceat(np.exp(each - np.repeat(most, size, axis=0)), heads - lo, axis=0)
+            alpha[lattice.end[heads]] = most + np.log(total)
+        return alpha
+
     def log_p(self, words: list[bytes], p: np.ndarray) -> np.ndarray:
-        """Log probability of each word under each column of ``p``."""
-        lattice = self.lattice(words)
-        return np.log(np.maximum(self.forward(lattice, p)[lattice.last], 1e-300))
+        """Log probability of each word under each column of ``p``: all its segmentations."""
+        out = np.zeros((len(words), p.shape[1]))
+        for rows, some, long in batches(words):
+            lattice = self.lattice(some)
+            out[rows] = self.log_forward(lattice, p)[lattice.last] if long else \
+                np.log(self.forward(lattice, p)[lattice.last])
+        return out
 
     def learn(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
         """Piece probabilities that expectation maximisation finds for counted words."""
         p = np.full((self.size, 1), 1 / self.size)
         for _ in range(ROUNDS):
             expected = np.zeros(self.size)
-            for lo in range(0, len(words), 20_000):
-                expected += self._expected(words[lo:lo + 20_000], counts[lo:lo + 20_000], p)
+            for rows, some, long in batches(words):
+                expected += (self._expected_logs if long else self._expected)(some, counts[rows], p)
             expected += SMOOTHING
             p = (expected / expected.sum())[:, None]
         return p[:, 0]
@@ -76,11 +98,36 @@ class Marginal:
         for lo, hi, _ in reversed(list(lattice.runs())):
             np.add.at(beta, lattice.start[lo:hi], beta[lattice.end[lo:hi]] * weight[lo:hi])
         owner = np.searchsorted(lattice.first, lattice.start, "right") - 1
-        whole = np.maximum(alpha[lattice.last], 1e-300)
-        share = alpha[lattice.start] * weight * beta[lattice.end] / whole[owner]
+        share = alpha[lattice.start] * weight * beta[lattice.end] / alpha[lattice.last][owner]
+        return np.bincount(lattice.piece, share * counts[owner], self.size)
+
+    def _expected_logs(self, words, counts, p) -> np.ndarray:
+        lattice = self.lattice(words)
+        alpha = self.log_forward(lattice, p)[:, 0]
+        beta = np.full(lattice.nodes, -np.inf)
+        beta[lattice.last] = 0
+        weight = np.log(p[lattice.piece, 0])
+        for lo, hi, _ in reversed(list(lattice.runs())):
+            np.logaddexp.at(beta, lattice.start[lo:hi], beta[lattice.end[lo:hi]] + weight[lo:hi])
+        owner = np.searchsorted(lattice.first, lattice.start, "right") - 1
+        share = np.exp(alpha[lattice.start] + weight + beta[lattice.end] - alpha[lattice.last][owner])
         return np.bincount(lattice.piece, share * counts[owner], self.size)
 
 
+def batches(words: list[bytes]) -> Iterator[tuple[np.ndarray, list[bytes], bool]]:
+    """(places, words, whether long) in lattices of bounded size; a word is never cut."""
+    sizes = np.array([len(w) for w in words], np.int64)
+    for long in (False, True):
+        places = np.flatnonzero((sizes > LONG) == long)
+        ends = np.cumsum(sizes[places] + 1)
+        lo = 0
+        while lo < len(places):
+            base = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, base + LATTICE_BYTES, "right")))
+            yield places[lo:hi], [words[i] for i in places[lo:hi].tolist()], long
+            lo = hi
+
+
 _MODELS: dict[str, Marginal] = {}
 
 
@@ -91,15 +138,8 @@ def marginal(path: str) -> Marginal:
 
 
 def marked_words(text: str) -> list[bytes]:
-    """Lower-cased words with the mark before them, cut into stretches of at most 40 bytes."""
-    out = []
-    for word in text.lower().encode().split():
-        word = MARK + word
-        if len(word) <= STRETCH:
-            out.append(word)
-        else:
-            out.extend(word[i:i + STRETCH] for i in range(0, len(word), STRETCH))
-    return out
+    """Lower-cased words with the mark before them, whole."""
+    return [MARK + w for w in text.lower().encode().split()]
 
 
 def numbered(texts: list) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -114,9 +154,9 @@ def fit(docs: DataFrame, taught: Column, text: str = "text", lang: str = "lang",
         path: str | None = None, max_sample: int = MAX_SAMPLE) -> DataFrame:
     """(lang, p): piece probabilities, packed as 32-bit floats, of each non-null language.
 
-    Learns from about ``max_sample`` rows a language among those that ``taught`` selects, or
-    all if there are fewer: those whose hash is lowest, so the same on every run.  One task
-    learns each language.
+    Learns from about ``max_sample`` texts a language among those that ``taught`` selects, or
+    all if there are fewer: those whose hash is lowest, so the same on every run.  Equal texts
+    are one, with a count.  One task learns each language.
     """
     path = path or public_path("piece_bpe_32k.model")
     known = docs.where(F.coalesce(taught, F.lit(False)) & F.col(lang).isNotNull()
@@ -124,14 +164,16 @@ def fit(docs: DataFrame, taught: Column, text: str = "text", lang: str = "lang",
     rows = known.groupBy(lang).count().collect()
     share = F.lit(0)
     for r in rows:  # one value for each language
-        share = F.when(F.col(lang) == r[lang],
+        share = F.when(F.col("lang") == r[lang],
                        int((1 << 30) * min(1.0, max_sample / r["count"]))).otherwise(share)
-    sample = known.where(slice_of(known, 1 << 30) < share) \
-        .select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
+    text_only = known.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    sample = text_only.where(slice_of(text_only, 1 << 30) < share) \
+        .groupBy(F.col("lang").cast("string").alias("lang"), "text").agg(F.count(F.lit(1)).alias("n"))
 
     def learn(group: pa.Table) -> pa.Table:
-        words, at, _ = numbered(group.column("text").to_pylist())
-        p = marginal(path).learn(words, np.bincount(at, minlength=len(words)).astype(float))
+        words, at, owner = numbered(group.column("text").to_pylist())
+        copies = group.column("n").to_numpy()[owner].astype(float)
+        p = marginal(path).learn(words, np.bincount(at, copies, len(words)))
         return pa.table({"lang": pa.array([group.column("lang")[0].as_py()]),
                          "p": pa.array([p.astype("<f4").tobytes()], pa.binary())})
 
@@ -144,12 +186,15 @@ def predict(docs: DataFrame, model: DataFrame, text: str = "text",
 
     The score is the language's posterior under equal priors; of equal languages the first in
     alphabetical order is taken.  Texts that are null or have no letter are ``und`` with score
-    0, and so is every text if no language was learnt.  Input columns of these names are
-    replaced.  The model, 128 KB a language, is broadcast.
+    0, and so is every text if no language was learnt.  Texts and words are scored whole, repeated
+    rows alike; an empty table stays empty.  Input columns of these names are replaced.  The
+    model, 128 KB a language, is broadcast; more than ``MAX_LANGUAGES`` are refused.
     """
     path = path or public_path("piece_bpe_32k.model")
     rows = sorted(model.collect(), key=lambda r: r["lang"])
     langs = [r["lang"] for r in rows]
+    if len(rows) > MAX_LANGUAGES:
+        raise ValueError(f"{len(rows)} languages; the model is broadcast for {MAX_LANGUAGES} at most")
     shared = docs.sparkSession.sparkContext.broadcast([r["p"] for r in rows])
 
     def make():
