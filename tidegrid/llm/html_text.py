@@ -33,10 +33,13 @@ PATH_BUCKETS, WORD_BUCKETS, FIGURES = 256, 64, 8
 WIDTH = PATH_BUCKETS + WORD_BUCKETS + FIGURES
 BATCH_BLOCKS = 16_384
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|svg|iframe|textarea|select)\b[^>]*>"
-    r".*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)"
-    r"(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL | re.IGNORECASE)
+# Elements whose content is never text; the first few run on to the page's end if not closed.
+RAW = frozenset("script style textarea".split())
+UNSEEN = RAW | frozenset("noscript template svg iframe select".split())
+# As in browsers, elements nested deeper than this become neighbours.
+MAX_DEPTH = 512
+_TAG = re.compile(r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)")
+_STOP = re.compile("[>\"']")
 _MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))",
                     re.IGNORECASE)
 _NAME = re.compile(r"[a-zA-Z]+")
@@ -60,12 +63,98 @@ class Block(NamedTuple):
     link_chars: int
 
 
+class _Scanner:
+    """The tags of a page in one pass: every character is looked at a bounded number of times."""
+
+    def __init__(self, page: str):
+        self.page, self.lower = page, page.lower()
+        if len(self.lower) != len(page):  # a few letters change their length
+            self.lower = page
+        self.unclosed: set[str] = set()
+        self.quotes = True
+
+    def _end_of_tag(self, at: int) -> int:
+        """Where the tag that is open at ``at`` ends, after its ``>``; -1 if nowhere.
+
+        A ``>`` in quotes does not count.  Once a quoted value runs to the end of the page, quotes
+        are no longer trusted.
+        """
+        page, start = self.page, at
+        while self.quotes:
+            found = _STOP.search(page, at)
+            if found and found[0] == ">":
+                return found.end()
+            close = page.find(found[0], found.end()) if found else -1
+            if close < 0:
+                self.quotes = False
+                break
+            at = close + 1
+        return page.find(">", start) + 1 or -1
+
+    def tokens(self):
+        """(from, to, tag, whether an end tag, attributes); tag is None for what is skipped."""
+        page, page_end, at = self.page, len(self.page), 0
+        while True:
+            at = page.find("<", at)
+            if at < 0:
+                return
+            if page.startswith("<!--", at):
+                stop = page.find("-->", at + 4)
+                stop = stop + 3 if stop >= 0 else page_end
+                yield at, stop, None, False, ""
+                at = stop
+                continue
+            if page[at + 1:at + 2] in ("!", "?"):
+                stop = page.find(">", at) + 1 if "markup" not in self.unclosed else 0
+                if not stop:
+                    self.unclosed.add("markup")
+                    at += 1
+                    continue
+                yield at, stop, None, False, ""
+                at = stop
+                continue
+            found = _TAG.match(page, at)
+            stop = self._end_of_tag(found.end()) if found and "markup" not in self.unclosed else -1
+            if stop < 0:  # no tag: a sign in the text
+                if found:
+                    self.unclosed.add("markup")
+                at += 1
+                continue
+            tag = found["tag"].lower()
+            if tag in UNSEEN and not found["end"]:
+                close = self._closing(tag, stop)
+                if close is not None:
+                    yield at, close, None, False, ""
+                    at = close
+                    continue
+                # not closed: only its start tag goes, the page goes on
+                yield at, stop, None, False, ""
+            elif tag in UNSEEN:
+                yield at, stop, None, False, ""
+            else:
+                yield at, stop, tag, bool(found["end"]), page[found.end():stop - 1]
+            at = stop
+
+    def _closing(self, tag: str, at: int) -> int | None:
+        """Where an unseen element ends; None if it is not closed and must not run on."""
+        close = -1
+        if tag not in self.unclosed:
+            close = self.lower.find("</" + tag, at)
+        if close < 0:
+            self.unclosed.add(tag)
+            return len(self.page) if tag in RAW else None
+        stop = self.page.find(">", close)
+        return stop + 1 if stop >= 0 else len(self.page)
+
+
 def leaf_blocks(page: str | None) -> list[Block]:
     """Runs of text between block tags, with the tags (and their class words) above them.
 
     Comments, scripts, styles and other unseen content are skipped; character references are
     decoded and white space becomes one space.  Broken markup is read as far as it goes: an end
-    tag closes up to its start tag if there is one.
+    tag closes up to its start tag if there is one, and of unseen elements only scripts, styles and
+    text areas run on when they are not closed.  A path names each word once, where it last
+    occurs.  The work grows with the page's length.
     """
     if not page:
         return []
@@ -79,29 +168,27 @@ def leaf_blocks(page: str | None) -> list[Block]:
         if text:
             whole = " ".join(html.unescape("".join(text)).split())
             if whole:
-                blocks.append(Block(tuple(n for _, names in stack for n in names), whole, link))
+                blocks.append(Block(stack[-1][1] if stack else (), whole, link))
         text, link = [], 0
 
     at = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            piece = page[at:m.start()]
+    for start, stop, tag, ends, attrs in _Scanner(page).tokens():
+        if start > at:
+            piece = page[at:start]
             text.append(piece)
             link += len(piece) * (in_link > 0)
-        at = m.end()
-        tag = m["tag"]
+        at = stop
         if tag is None:
             continue
-        tag = tag.lower()
         if tag in INLINE:
             if tag == "a":
-                in_link = 0 if m["end"] else 1
+                in_link = 0 if ends else 1
             continue
         if tag == "br":
             text.append(" ")
             continue
         close()
-        if m["end"]:
+        if ends:
             depth = len(stack) - 1
             while depth >= 0 and stack[depth][0] != tag:
                 depth -= 1
@@ -109,19 +196,32 @@ def leaf_blocks(page: str | None) -> list[Block]:
                 del stack[depth:]
                 in_link = 0
         elif tag not in EMPTY:
-            if tag in SELF_CLOSING and stack and stack[-1][0] == tag:
+            if stack and (tag in SELF_CLOSING and stack[-1][0] == tag or len(stack) >= MAX_DEPTH):
                 stack.pop()
             names = [tag]
-            if m["attrs"]:
-                for found in _MARKS.finditer(m["attrs"]):
+            if attrs:
+                for found in _MARKS.finditer(attrs):
                     names += [x.lower() for x in _NAME.findall(found[1] or found[2] or found[3] or "")]
-            stack.append((tag, tuple(names)))
+            above = stack[-1][1] if stack else ()
+            own = dict.fromkeys(reversed(names))
+            path = [n for n in above if n not in own] + list(reversed(own))
+            stack.append((tag, tuple(path)))
     if at < len(page):
         text.append(page[at:])
     close()
     return blocks
 
 
+def guessed_labels(blocks: list[Block]) -> list[int]:
+    """1 for blocks that look like running text, for sites that mark no article anywhere."""
+    out = []
+    for b in blocks:
+        words = b.text.split()
+        prose = len(words) >= 8 or len(words) >= 4 and b.text[-1:] in ".!?"
+        out.append(int(prose and 3 * b.link_chars <= len(b.text) and not set(b.path) & AROUND))
+    return out
+
+
 def taught_labels(blocks: list[Block]) -> list[int] | None:
     """1 for blocks of a marked article, 0 for others; None if the page marks none."""
     labels, seen = [], False
@@ -329,18 +429,23 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def fit(pages: DataFrame, text: str = "html", max_pages: int = MAX_PAGES) -> DataFrame:
     """One row with the weights, by name, learnt from about ``max_pages`` pages in one task.
 
-    The sample is the pages whose hash is lowest, or all if there are fewer.  Pages that mark no
-    article teach nothing; if none does, there is no row.
+    The sample is the marked pages (those with an ``article`` or ``main`` tag) whose hash is lowest,
+    or all if there are fewer; equal pages are one.  Where no page is marked, the sample is of all
+    pages, and running text outside of menus, forms and the like teaches.  No page, no row.
     """
-    named = pages.where(F.col(text).isNotNull())
-    share = int((1 << 30) * min(1.0, max_pages / max(1, named.count())))
-    sample = named.where(slice_of(named, 1 << 30) < share).select(F.col(text).alias("html"))
+    named = pages.where(F.col(text).isNotNull()).select(F.col(text).alias("html"))
+    mark = F.col("html").rlike(r"(?i)<(?:article|main)[\s>]")
+    n = named.agg(F.count_if(mark).alias("marked"), F.count(F.lit(1)).alias("n")).first()
+    chosen = named.where(mark) if n.marked else named
+    share = int((1 << 30) * min(1.0, max_pages / max(1, n.marked or n.n)))
+    sample = chosen.where(slice_of(chosen, 1 << 30) < share).distinct()
+    marked = n.marked > 0
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
         for page in sorted(p for b in batches for p in b.column("html").to_pylist()):
             blocks = leaf_blocks(page)
-            labels = taught_labels(blocks)
+            labels = taught_labels(blocks) if marked else guessed_labels(blocks)
             if labels:
                 found.append((blocks, labels))
         rnd = random.Random(11)
@@ -368,8 +473,9 @@ def main_text(pages: DataFrame, text: str = "html", model: DataFrame | None = No
     """``pages`` with ``text``, the main text, and ``n_chars``, its code points.
 
     Null and empty pages, and pages without a main block, give "".  Without ``model`` one is
-    learnt from a sample of ``pages``; if none of them marks an article, nothing is main text.
-    Pages are labelled whole, however long.  Input columns of these names are replaced.
+    learnt from a sample of ``pages`` (:func:`fit`).  Pages are labelled whole, however long or
+    broken; repeated rows fare alike, an empty table stays empty.  Input columns of these names are
+    replaced.
     """
     rows = (fit(pages, text) if model is None else model).collect()
     shared = pages.sparkSession.sparkContext.broadcast({r["name"]: r["weights"] for r in rows})
