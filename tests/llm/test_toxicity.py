@@ -66,3 +66,17 @@ def test_query(spark, sf_dir):
     got = queries.QUERIES["op1_toxicity"](spark, sf_dir)
     assert got.columns[:4] == ["doc_id", "held_out", "score", "predicted"]
     assert got.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+
+
+def test_a_third_of_all_rows_equal(spark):
+    """One id with most of the rows: its copies teach once, its other texts are sampled."""
+    from tidegrid.llm import toxicity as module
+    rows = [(1, "you are a wretched vile fool")] * 2000 + [(1, f"vile fool number {i}") for i in range(3000)]
+    rows += [(i, f"the weather is fine on day {i}") for i in range(2, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "9 AS _key", "8 AS _text")
+    labels = spark.createDataFrame([(1, 1)] + [(i, 0) for i in range(2, 300)], "doc_id long, toxic int")
+    got = module.toxicity(docs, labels, max_sample=300)
+    assert got.count() == len(rows)
+    by_id = {r.doc_id: r.s for r in got.groupBy("doc_id").agg({"score": "min"})
+             .withColumnRenamed("min(score)", "s").collect()}
+    assert by_id[1] > max(v for k, v in by_id.items() if k != 1)

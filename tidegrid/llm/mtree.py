@@ -269,12 +269,16 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, key: str = "vec_id",
         return pa.table([pa.array(c, pa.int64()) for c in columns],
                         names=["query_id", "tag", "vec_id", "score"])
 
-    many = pages.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     by_id = asked.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int"))
     sent_as = "block int, part int, ids binary, x binary, floor binary"
     found_as = "query_id long, tag long, vec_id long, score long"
 
     def run(queries: DataFrame) -> DataFrame:
+        # pages go only where a query of their block is
+        queries = written(queries, "sent")
+        asked_for = queries.select(F.col("block").alias("_block"), F.col("part").alias("_part")).distinct()
+        many = pages.join(asked_for, F.col("block") == F.col("_block")) \
+            .select(*pages.columns, F.col("_part").alias("part"))
         return many.groupBy("block", "part").cogroup(queries.groupBy("block", "part")) \
             .applyInArrow(search, found_as)
 

@@ -140,7 +140,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     Only the text is an input of a score.  Rows of ``docs`` without a label, or with a null
     key, are scored but teach nothing; without any labelled row every score is 0.  Positive
     labels count as 1, null ones are left out, and of several for a key the highest counts.
-    Repeated rows each get their score.
+    Repeated rows each get their score, and teach once.  Where sampled keys have over twice
+    ``max_sample`` rows, the sample is cut once more, by a hash of the text.  An empty table stays
+    empty, long texts are read whole.
     """
     marks = labels.select(F.col(key).alias("_key"), (F.col(label) > 0).cast("int").alias("_label")) \
         .where("_key IS NOT NULL AND _label IS NOT NULL") \
@@ -150,4 +152,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
         marks = marks.where(F.pmod(F.xxhash64("_key"), F.lit(1 << 40)) < int((1 << 40) * share))
     taught = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")) \
         .join(F.broadcast(marks), "_key")
+    # a key with very many rows must not fill the one task that learns
+    rows = docs.select(F.col(key).alias("_key")).join(F.broadcast(marks), "_key").count()
+    if rows > 2 * max_sample:
+        taught = taught.where(F.pmod(F.xxhash64("_text"), F.lit(1 << 30))
+                              < int((1 << 30) * max_sample / rows))
+    taught = taught.distinct()
     return score(docs, fit(taught, "_text", "_label"), text)
