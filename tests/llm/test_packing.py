@@ -112,3 +112,22 @@ def test_a_third_of_all_rows_equal(spark, monkeypatch):
         for offset, length in sorted(pieces):
             assert offset == at
             at += length
+
+
+def test_whole_result_by_first_fit(spark, sf_dir):
+    """Every group of the query's result, bin by bin and offset by offset, by a plain first fit."""
+    groups = defaultdict(list)
+    for r in queries.QUERIES["op9_packing"](spark, sf_dir).collect():
+        groups[r.sequence_id >> 32].append(r)
+    assert groups
+    for rows in groups.values():
+        rows.sort(key=lambda r: (r.length, r.ids_crc32, r.start, r.doc_id))
+        rows.sort(key=lambda r: -r.length)
+        left = []
+        for r in rows:
+            b = next((b for b, room in enumerate(left) if room >= r.length), None)
+            if b is None:
+                b = len(left)
+                left.append(4096)
+            assert (r.sequence_id & 0xFFFFFFFF, r.offset) == (b, 4096 - left[b])
+            left[b] -= r.length

@@ -80,3 +80,52 @@ def test_a_third_of_all_rows_equal(spark):
     by_id = {r.doc_id: r.s for r in got.groupBy("doc_id").agg({"score": "min"})
              .withColumnRenamed("min(score)", "s").collect()}
     assert by_id[1] > max(v for k, v in by_id.items() if k != 1)
+
+
+def test_whole_result_by_plain_ftrl(spark, sf_dir):
+    """Every score of the query, by FTRL-proximal written out coordinate by coordinate."""
+    import math
+    import zlib
+    from collections import defaultdict
+
+    import xxhash
+
+    from tidegrid.llm import toxicity as module
+    from tidegrid.llm.queries import op1
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    labels = {r.doc_id: int(r.toxic > 0) for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()
+              if r.toxic is not None and zlib.crc32(str(r.doc_id).encode()) % 5}
+
+    def found(text):
+        return sorted(set(module.features([text])[0].tolist()))
+
+    def order(item):
+        text, y = item
+        h = xxhash.xxh64_intdigest(text.encode(), 42)
+        return h - (1 << 64) if h >> 63 else h, np.array(found(text), np.uint32).tobytes(), y
+    rows = sorted(((texts[k], y) for k, y in labels.items() if k in texts), key=order)
+    z, n, bias = defaultdict(float), defaultdict(float), "bias"
+
+    def weight(i):
+        l1 = 0.0 if i == bias else module.L1
+        if abs(z[i]) <= l1:
+            return 0.0
+        return (math.copysign(l1, z[i]) - z[i]) / ((module.BETA + math.sqrt(n[i])) / module.ALPHA + module.L2)
+
+    def chance(items):
+        return 1 / (1 + math.exp(-max(-35, min(35, sum(map(weight, items))))))
+    for _ in range(module.EPOCHS):
+        for text, y in rows:
+            items = [*found(text), bias]
+            w = {i: weight(i) for i in items}
+            g = (chance(items) - y) * (module.POSITIVE_WEIGHT if y else 1)
+            for i in items:
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / module.ALPHA
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    got = {r.doc_id: r for r in op1(spark, sf_dir).collect()}
+    assert set(got) == set(texts)
+    for k, text in texts.items():
+        assert abs(got[k].score - chance([*found(text), bias])) < 1e-4
+        assert got[k].predicted == int(got[k].score >= 0.5)
+        assert got[k].held_out == (zlib.crc32(str(k).encode()) % 5 == 0)
