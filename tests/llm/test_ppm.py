@@ -145,3 +145,23 @@ def test_query(spark, sf_dir):
     for r in queries.QUERIES["op10_ppm"](spark, sf_dir).collect():
         assert (r.n_tokens, r.n_known, r.train_tokens) == want[r.doc_id][:3]
         assert math.isclose(r.base_score, want[r.doc_id][3], rel_tol=1e-9) and r.score < 0
+
+
+def test_whole_result_by_dictionaries(spark, sf_dir, monkeypatch):
+    """The query's scores by the plain model of its own order: all held-out texts, many others."""
+    monkeypatch.setitem(globals(), "ORDER", 5)
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    held = {k: zlib.crc32(str(k).encode()) % 7 == 2 for k in texts}
+    plain = Plain([t for k, t in texts.items() if not held[k]])
+    counts = Counter(w for k, t in texts.items() if not held[k] for w in tokens(t))
+    total, kinds = sum(counts.values()), len(counts)
+    got = {r.doc_id: r for r in queries.QUERIES["op10_ppm"](spark, sf_dir).collect()}
+    assert set(got) == set(texts)
+    for k, t in texts.items():
+        r, own = got[k], tokens(t)
+        assert (r.held_out, r.n_tokens, r.train_tokens) == (held[k], len(own), total)
+        assert r.n_known == sum(counts[w] > 0 for w in own)
+        base = sum(math.log10((counts[w] + 1) / (total + kinds + 1)) for w in own)
+        assert math.isclose(r.base_score, base, rel_tol=1e-9)
+        if held[k] or k % 3 == 0 and len(t or "") < 3000:
+            assert math.isclose(r.score, plain.log10(t), rel_tol=1e-4, abs_tol=1e-3)

@@ -85,3 +85,36 @@ def test_query_round_trips(spark, sf_dir):
     got = queries.QUERIES["op2_sentence_pieces"](spark, sf_dir)
     assert got.where("NOT round_trip").count() == 0
     assert got.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+
+
+def test_whole_result_by_plain_viterbi(spark, sf_dir):
+    """Every document of the query: ids of best score, decoded to the text, and their digests."""
+    import zlib
+    v = CODEC.vocabulary
+    single = set(v.byte_ids.tolist())
+    words = {p.decode("utf-8", "surrogateescape"): v.scores[i] for i, p in enumerate(v.pieces)
+             if p and i not in single}
+    longest = max(map(len, words))
+
+    def best(text):
+        chars = "▁" + text.replace(" ", "▁")
+        score = [0.0] + [-np.inf] * len(chars)
+        for j in range(1, len(chars) + 1):
+            for i in range(max(0, j - longest), j):
+                piece = words.get(chars[i:j])
+                if piece is not None:
+                    score[j] = max(score[j], score[i] + piece)
+                elif j - i == 1:
+                    score[j] = max(score[j], score[i] + v.unknown_score)
+        return score[-1]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: r for r in queries.QUERIES["op2_sentence_pieces"](spark, sf_dir).collect()}
+    rows = encode(docs).collect()
+    assert len(rows) == len(got)
+    for r in rows:
+        ids, text = np.array(r.ids, np.int64), r.text or ""
+        assert got[r.doc_id].n_ids == len(ids)
+        assert got[r.doc_id].ids_crc32 == zlib.crc32(ids.astype("<u4").tobytes())
+        assert got[r.doc_id].n_byte_ids == sum(i in single for i in r.ids)
+        if text and len(text) < 6000:
+            assert abs(score_of(ids) - best(text)) < 1e-6 * max(1, len(text))
