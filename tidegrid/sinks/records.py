@@ -85,7 +85,7 @@ def time_batches(points: DataFrame, size: int, tie: Sequence[str] = ()) -> DataF
         tags_to_labels(F.col("tags")).alias("labels"),
         F.array(F.struct(F.col("value"), to_millis(F.col("ts")).alias("timestamp")))
         .alias("samples"), "ts", *tie)
-    return batches(requests, size, ["ts", *tie], tumbling(F.col("ts"), "1h").start)
+    return batches(requests, size, ["ts", *tie], tumbling(F.col("ts"), "1m").start)
 
 
 def write_batches(requests: DataFrame, path: str, size: int) -> None:
