@@ -38,7 +38,7 @@ _LINE_SQL = _positional_sql("ts, " + ", ".join(_LINE_ORDER), "1995-01-01", 10, L
 
 def _lines_regridded(spark, sf_dir, **plan):
     points = lineitem_points(spark, sf_dir, keep=["l_orderkey", "l_linenumber", "l_partkey"])
-    return op.regrid(points, "1995-01-01", "10s", tie=_LINE_ORDER, block="168h", **plan) \
+    return op.regrid(points, "1995-01-01", "10s", tie=_LINE_ORDER, block="720h", **plan) \
         .select("l_orderkey", "l_linenumber", "series_key", "step_idx", "step_ts", "value")
 
 
@@ -54,7 +54,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY ts, value, l
 def regrid_no_tie(spark, sf_dir):
     """No tie given: samples of one day follow by all that they hold."""
     points = lineitem_points(spark, sf_dir, keep=["l_orderkey", "l_linenumber", "l_partkey"])
-    return op.regrid(points, "1995-01-01", "10s", block="168h").select(
+    return op.regrid(points, "1995-01-01", "10s", block="720h").select(
         "l_orderkey", "l_linenumber", "series_key", "value", "step_idx")
 
 

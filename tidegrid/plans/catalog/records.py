@@ -157,7 +157,7 @@ GROUP BY ALL""")
 def result_json(spark, sf_dir):
     """A read result as JSON text, parsed back."""
     points = lineitem_points(spark, sf_dir)
-    grid = regrid(points, "1995-01-01", "1m", tie=["l_orderkey", "l_linenumber"], block="168h")
+    grid = regrid(points, "1995-01-01", "1m", tie=["l_orderkey", "l_linenumber"], block="720h")
     texts = op.result_json(op.nest_series(grid, part_samples=200))
     back = texts.select(F.from_json("json", wire.WRITE_REQUEST).alias("r")).select("r.*")
     return wire.write_request_points(back).groupBy("series_key").agg(
