@@ -24,7 +24,9 @@ SEQUENCE = 4096
 END_ID = 2
 GROUP_PIECES = 4096
 COPY_RUN = 100_000
-CACHED_PARTS = 1_200_000
+CACHED_PARTS = 500_000
+# Text worked on at once; a byte takes some hundred bytes of arrays meanwhile.
+TEXT_AT_ONCE = 1_000_000
 
 # Texts of these characters are in NFC already and lower-case the same way everywhere.
 _PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
@@ -222,7 +224,7 @@ def token_pieces(docs: DataFrame, path: str, key: str, text: str, with_ids: bool
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_ids(path).encode
         for batch in batches:
-            for lo, hi, texts in chunks(batch.column("_text")):
+            for lo, hi, texts in chunks(batch.column("_text"), TEXT_AT_ONCE):
                 row, start, length, crc, whole, parts = [], [], [], [], [], []
                 for i, ids in enumerate(encode(texts)):
                     ids = np.append(ids, END_ID).astype("<u4")
