@@ -92,6 +92,19 @@ def test_set_operations_with_a_hot_key(spark):
     assert op.vector_and(left, right).count() == 0
 
 
+def test_matching_sends_no_side_through_the_driver(spark):
+    many = vec(spark, *[({"a": str(i % 3), "b": str(i)}, 0, i) for i in range(30)])
+    one = vec(spark, *[({"a": str(i), "z": "new"}, 0, 100) for i in range(3)])
+    for made, n in ((op.group_right(one, many, "-", on=["a"], include=["z"]), 30),
+                    (op.group_left(many, one, "-", on=["a"]), 30),
+                    (op.vector_and(many, one, on=["a"]), 30),
+                    (op.vector_unless(many, one.where("series_key < 'a=1'"), on=["a"]), 20)):
+        assert len(made.collect()) == n
+        # the plan as it ran: not even these few rows were broadcast
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_absent_equals_empty_in_on(spark):
     left, right = vec(spark, ({"a": "1"}, 0, 1)), vec(spark, ({"a": "2", "b": ""}, 0, 5))
     assert rows(op.one_to_one(left, right, "+", on=["b"]), "series_key", "value") == [("", 6.0)]

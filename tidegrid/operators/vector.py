@@ -112,17 +112,21 @@ def _with_match(df: DataFrame, on, ignoring) -> tuple[DataFrame, list[str]]:
 def _spread_join(many: DataFrame, one: DataFrame, keys: Sequence[str], how: str,
                  spread: int) -> DataFrame:
     """Join where ``one`` has a row per (key, step) and ``many`` any number: the many rows
-    of a key are spread over ``spread`` tasks and the one row goes to each of them."""
+    of a key are spread over ``spread`` tasks and the one row goes to each of them.
+
+    Merged, never broadcast: Spark's size estimate is that of the files, knows neither the
+    copies nor the rows of the aggregate, and would send all of them through the driver."""
     if spread & (spread - 1) or spread < 1:
         raise ValueError("the spread must be a power of two")
     if spread == 1:
-        return many.join(one, [*keys, "step_ts"], how)
+        return many.join(one.hint("merge"), [*keys, "step_ts"], how)
     # not nullable, so no null test on it wanders down to the scan, where it would keep two
     # uses of one vector from sharing their shuffle
     salt = F.xxhash64("series_key").bitwiseAND(F.lit(spread - 1))
     copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint")))
     return many.withColumn("__salt", salt).join(
-        one.withColumn("__salt", copies), [*keys, "step_ts", "__salt"], how).drop("__salt")
+        one.withColumn("__salt", copies).hint("merge"),
+        [*keys, "step_ts", "__salt"], how).drop("__salt")
 
 
 def _combined(op: str, a: Column, b: Column, bool_result: bool) -> tuple[Column, Column | None]:
