@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegrid.operators.grid import consolidate, regrid
+from tidegrid.plans.catalog import streams
 from tidegrid.sinks.points import fanout_write, read_points, write_bucketed
 from tidegrid.sinks.records import write_requests_of
 from tidegrid.sinks import block_table
@@ -113,6 +114,31 @@ def test_rollup_of_touched_days(spark, sf_dir, tmp_path):
         rollup.rollup(points, "7h", "sum", "x")
 
 
+def write_events(spark, path):
+    """400 samples over five days and one without a time, in four files."""
+    spark.range(401).selectExpr(
+        "id AS event_id", "IF(id < 400, timestamp_ntz'2024-01-02 00:00:30' + make_dt_interval(0, 0, id * 18), null) "
+        "AS ts", "id % 7 AS user_id", "'view' AS event_type", "double(id % 50) AS value", "'{}' AS props") \
+        .repartition(4).write.parquet(f"{path}/events.parquet")
+
+
+def test_rollup_feed_is_not_one_file_and_no_batch_is_kept(spark, tmp_path, monkeypatch):
+    write_events(spark, tmp_path)
+    monkeypatch.setattr(streams, "scratch_path", lambda spark, label: str(tmp_path / label))
+
+    def kept(*args):
+        raise AssertionError("a batch was kept")
+    monkeypatch.setattr(type(spark.range(0)), "persist", kept)
+    got = streams.stream_rollup(spark, str(tmp_path))
+    assert len(spark.read.parquet(str(tmp_path / "rollup/in")).inputFiles()) > 2
+    # the late samples are a batch of their own
+    raw = read_points(spark, str(tmp_path / "rollup/raw"))
+    assert raw.count() == 401 and raw.select("batch_id").distinct().count() == 2
+    points = events_points(spark, str(tmp_path), keep=()).where("ts IS NOT NULL")
+    whole = rollup.rollup(points, "6h", "max", "6h").select("series_key", "ts", "value")
+    assert sorted(got.where("ts IS NOT NULL").collect()) == sorted(whole.collect())
+
+
 def test_resent_feed_and_bounded_state(spark, tmp_path):
     rows = [("a", m, float(m % 3)) for m in range(0, 3000)] + [("b", m, 0.5) for m in range(0, 3000, 7)]
     points = made(spark, rows)

@@ -40,6 +40,11 @@ def event_stream(spark, sf_dir):
         .parquet(sf_dir)
 
 
+def batch_files(sent):
+    """As many files as were sent so far: a feed of so many a batch reads them as its first batch."""
+    return max(1, len(sent.inputFiles()))
+
+
 def finished(query):
     """Wait for a stream that runs over what is there."""
     query.awaitTermination()
@@ -250,9 +255,10 @@ def stream_rollup(spark, sf_dir):
     points = points_from(read_table(spark, sf_dir, "events"), "events",
                          {"event_type": "event_type", "user_id": "user_id"}, "ts", "value")
     late = F.pmod(F.xxhash64("series_key", "ts"), F.lit(5)) == 0
-    points.where(~late).coalesce(1).write.parquet(f"{root}/in")
-    points.where(late).coalesce(1).write.mode("append").parquet(f"{root}/in")
-    feed = spark.readStream.schema(points.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    points.where(~late).write.parquet(f"{root}/in")
+    files = batch_files(spark.read.schema(points.schema).parquet(f"{root}/in"))
+    points.where(late).coalesce(files).write.mode("append").parquet(f"{root}/in")
+    feed = spark.readStream.schema(points.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/in")
     finished(rollup.ingest_with_rollup(feed, f"{root}/raw", f"{root}/coarse", f"{root}/checkpoint",
                                        "6h", "max", "6h"))
     return read_points(spark, f"{root}/coarse").select("series_key", "ts", "value")

@@ -12,7 +12,7 @@ from tidegrid.functions.times import Duration, micros_of, tumbling
 from tidegrid.operators.fetch import cut_date
 from tidegrid.operators.grid import fold
 from tidegrid.sources.points import SERIES
-from tidegrid.streaming.ingest import ALL_THERE_IS, _append, _batches
+from tidegrid.streaming.ingest import ALL_THERE_IS, _append, _batches, _exists
 
 _DAY = 24 * 3600 * 1_000_000
 
@@ -32,6 +32,12 @@ def touched_days(points: DataFrame) -> list:
     return sorted(r.d for r in days)
 
 
+def stored_days(stored: DataFrame, label: str) -> list:
+    """The days that the batch ``label`` has in a points table, as dates."""
+    days = stored.where(F.col("batch_id") == label).select(F.col("block_date").alias("d"))
+    return sorted(r.d for r in days.where("d is not null").distinct().collect())
+
+
 def refresh_rollup(spark: SparkSession, raw: str, target: str, step: Duration, fn: str,
                    namespace: str, days: Iterable | None = None) -> None:
     """Brings the rollup at ``target`` up to the points table at ``raw`` (cut by day).
@@ -58,12 +64,10 @@ def ingest_with_rollup(points: DataFrame, raw: str, target: str, checkpoint: str
     is run again does the same once more, to the same end.
     """
     def write(batch: DataFrame, label: str) -> None:
-        batch = batch.persist()
-        try:
-            days = touched_days(batch)
-            _append(batch, raw, label, promote)
-            if days:
-                refresh_rollup(batch.sparkSession, raw, target, step, fn, namespace, days)
-        finally:
-            batch.unpersist()
+        spark = batch.sparkSession
+        _append(batch, raw, label, promote)
+        # the days come from the folders just written: nothing of the batch is kept or read for them
+        days = stored_days(spark.read.parquet(raw), label) if _exists(spark, raw) else []
+        if days:
+            refresh_rollup(spark, raw, target, step, fn, namespace, days)
     return _batches(points, write, checkpoint, trigger)
