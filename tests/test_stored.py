@@ -139,6 +139,23 @@ def test_rollup_feed_is_not_one_file_and_no_batch_is_kept(spark, tmp_path, monke
     assert sorted(got.where("ts IS NOT NULL").collect()) == sorted(whole.collect())
 
 
+def test_resent_feed_is_not_one_file_and_loses_nothing(spark, tmp_path, monkeypatch):
+    write_events(spark, tmp_path)
+    monkeypatch.setattr(streams, "scratch_path", lambda spark, label: str(tmp_path / label))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = streams.stream_resent(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sent = spark.read.text(str(tmp_path / "resent/in"))
+    assert len(sent.inputFiles()) > 4
+    # every message is there twice, every sample came in with the first batch
+    assert {r["count"] % 2 for r in sent.groupBy("value").count().collect()} == {0}
+    points = events_points(spark, str(tmp_path), keep=()).where("ts IS NOT NULL")
+    assert sorted(got) == sorted(points.select("series_key", "ts", "value").collect())
+    assert read_points(spark, str(tmp_path / "resent/points")).select("batch_id").distinct().count() == 1
+
+
 def test_resent_feed_and_bounded_state(spark, tmp_path):
     rows = [("a", m, float(m % 3)) for m in range(0, 3000)] + [("b", m, 0.5) for m in range(0, 3000, 7)]
     points = made(spark, rows)

@@ -222,12 +222,14 @@ def stream_fanout(spark, sf_dir):
 @query("q139_stream_resent", f"""
 SELECT DISTINCT series_key, date_trunc('milliseconds', ts) AS ts, value FROM {EVENTS}""")
 def stream_resent(spark, sf_dir):
-    """A feed that is sent twice, file after file: each sample is in the table once."""
+    """A feed that is sent twice, batch after batch: each sample is in the table once."""
     root = scratch_path(spark, "resent")
-    requests = write_requests(spark, sf_dir)
-    requests.coalesce(1).write.json(f"{root}/in")
-    requests.coalesce(1).write.mode("append").json(f"{root}/in")
-    points = op.once(write_request_points(op.request_stream(spark, f"{root}/in", max_files=1)), SETTINGS)
+    write_requests(spark, sf_dir).write.json(f"{root}/in")
+    sent = spark.read.text(f"{root}/in")
+    files = batch_files(sent)
+    # the very same messages again
+    sent.coalesce(files).write.mode("append").text(f"{root}/in")
+    points = op.once(write_request_points(op.request_stream(spark, f"{root}/in", max_files=files)), SETTINGS)
     finished(op.ingest_points(points, f"{root}/points", f"{root}/checkpoint"))
     return read_points(spark, f"{root}/points").select("series_key", "ts", "value")
 
